@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fjordfacts.operators import structural as S
+from fjordfacts.session import sized_broadcast
 
 #: Members that hold the nested lists; they are problem 3's.
 NESTED = ("manifest", "noter", "validation", "extraction_meta")
@@ -29,12 +30,14 @@ META = "extraction_meta"
 RENAME_AT = 0.4
 
 
-def members(df: DataFrame, run: str = "run_tag", seq: str = "file_seq", json_col: str = "payload") -> DataFrame:
-    """(run, seq, field, kind, value) for each direct member of the record and of its metadata object.
+def members(df: DataFrame, run: str = "run_tag", seq: str = "file_seq", json_col: str = "payload", keep: str | None = None) -> DataFrame:
+    """(run, seq, field, kind, value), and the column `keep` as `id` if given, for each direct member of the record and of its metadata object.
 
     kind is null for JSON null. Malformed texts and texts whose root is no object give no rows.
     """
     schema = f"run {df.schema[run].dataType.simpleString()}, seq {df.schema[seq].dataType.simpleString()}, field string, kind string, value string"
+    if keep:
+        schema = f"id {df.schema[keep].dataType.simpleString()}, {schema}"
 
     def run_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -69,9 +72,11 @@ def members(df: DataFrame, run: str = "run_tag", seq: str = "file_seq", json_col
                         values.append(sub.value_text(n))
                         kinds.append(S.type_of(int(sub.kind[n]), b"" if sub.kind[n] in (S.QUOTE, S.OPEN_OBJECT, S.OPEN_ARRAY) else sub.raw(n)))
                         rows = np.append(rows, texts[good[g]][0])
-            yield pd.DataFrame({"run": pdf["run"].to_numpy()[rows], "seq": pdf["seq"].to_numpy()[rows], "field": names, "kind": kinds, "value": values})
+            ids = {"id": pdf["id"].to_numpy()[rows]} if keep else {}
+            yield pd.DataFrame({**ids, "run": pdf["run"].to_numpy()[rows], "seq": pdf["seq"].to_numpy()[rows], "field": names, "kind": kinds, "value": values})
 
-    rows = df.select(df[run].alias("run"), df[seq].alias("seq"), df[json_col].alias("text")).where("run is not null and seq is not null and text is not null")
+    ids = [df[keep].alias("id")] if keep else []
+    rows = df.select(*ids, df[run].alias("run"), df[seq].alias("seq"), df[json_col].alias("text")).where("run is not null and seq is not null and text is not null")
     return rows.mapInPandas(run_batches, schema)
 
 
@@ -244,22 +249,51 @@ def changes(profile: DataFrame, threshold: float = RENAME_AT) -> DataFrame:
     return out.withColumnsRenamed({"run": "run_tag", "seq": "file_seq"})
 
 
+def unified(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """(id, run_tag, file_seq, fields): every record's non-null fields as a map under their unified names.
+
+    `rows` are `members` with an id. A renamed field carries its name to later files until it is removed or
+    renamed again; the names of one run are few, so they travel to the rows and not the rows to them.
+    """
+    moves = F.array_sort(F.collect_list(F.struct("file_seq", "field", "unified", "until")))
+    names = unified_names(found)
+    spans = names.groupBy("run_tag").agg(moves.alias("moves")).withColumnRenamed("run_tag", "run")
+    joined = rows.where("kind is not null").join(sized_broadcast(spans), "run", "left")
+    hits = F.filter("moves", lambda m: (m["field"] == F.col("field")) & (m["file_seq"] <= F.col("seq")) & (F.col("seq") < m["until"]))
+    name = F.coalesce(F.try_element_at(F.transform(hits, lambda m: m["unified"]), F.lit(-1)), F.col("field"))
+    named = joined.select("id", "run", "seq", name.alias("field"), "value").distinct()
+    entries = F.map_from_entries(F.array_sort(F.collect_list(F.struct("field", "value"))))
+    one = named.groupBy("id", "run", "seq", "field").agg(F.max("value").alias("value"))
+    return one.groupBy("id", "run", "seq").agg(F.to_json(entries).alias("fields")).withColumnsRenamed({"run": "run_tag", "seq": "file_seq"})
+
+
 def unified_names(found: DataFrame) -> DataFrame:
-    """(run, seq, field, unified): renames followed back to the first name a field had in its run.
+    """(run_tag, field, unified, file_seq, until): in which files of a run a later name stands for the first one.
 
     The changes of one run are bounded by its files and fields, not by its records.
     """
-    schema = "run_tag string, file_seq int, field string, unified string"
+    schema = "run_tag string, field string, unified string, file_seq int, until int"
 
     def follow(pdf: pd.DataFrame) -> pd.DataFrame:
-        first: dict[str, str] = {}
+        active: dict[str, tuple[str, int]] = {}
         out = []
+
+        def close(name: str, seq: int) -> None:
+            if name in active:
+                unified, since = active.pop(name)
+                out.append((run, name, unified, since, seq))
+
+        run = str(pdf["run_tag"].iloc[0])
         for seq, group in pdf.sort_values("file_seq").groupby("file_seq"):
-            moved = {p["field_new"]: first.get(p["field_old"], p["field_old"]) for p in group.to_dict("records")}
-            for old in group["field_old"]:
-                first.pop(old, None)
-            first.update(moved)
-            out += [(pdf["run_tag"].iloc[0], int(seq), k, v) for k, v in first.items()]
-        return pd.DataFrame(out, columns=["run_tag", "file_seq", "field", "unified"])
-
-    return found.where("change = 'renamed'").groupBy("run_tag").applyInPandas(follow, schema)
+            moved = {}
+            for p in group.to_dict("records"):
+                if p["change"] == "renamed":
+                    moved[p["field_new"]] = active.get(p["field_old"], (p["field_old"], 0))[0]
+                if p["change"] in ("renamed", "removed"):
+                    close(p["field_old"], int(seq))
+            active.update({k: (v, int(seq)) for k, v in moved.items() if k != v})
+        for name in list(active):
+            close(name, 2**31 - 1)
+        return pd.DataFrame(out, columns=["run_tag", "field", "unified", "file_seq", "until"])
+
+    return found.where("change in ('renamed', 'removed')").groupBy("run_tag").applyInPandas(follow, schema)

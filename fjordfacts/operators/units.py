@@ -15,6 +15,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -45,18 +46,26 @@ _NOISE = str.maketrans({"0": "o", "1": "l", "|": "l", "5": "s", "6": "b", "8": "
 
 _UNITS = [(e, re.compile(rf"(?<!\w)(?:{p})(?!\w)", re.I)) for group in (QUANTITY, MONEY) for e, p in group]
 _MONEY_UNITS = [(e, re.compile(rf"(?<!\w)(?:{p})(?!\w)", re.I)) for e, p in MONEY]
-_NUMBER = r"[-−(]?\s?[0-9OoIl|SsBZzGgbqAQD](?:[0-9OoIl|SsBZzGgbqAQD  .,]*[0-9OoIl|SsBZzGgbqAQD])?\)?"
+_BLANKS = " \u00a0\u2009\u202f"
+_DIGITS = "0-9OoIl|SsBZzGgbqAQD"
+_NUMBER = rf"[-\u2212(]?\s?(?:[{_DIGITS}]{{1,3}}(?:[{_BLANKS}.][{_DIGITS}]{{3}}(?!\w))+|[{_DIGITS}]+)(?:,[{_DIGITS}]+)?\)?"
 _YEAR_CELL = re.compile(r"^\s*((?:19|20)\d\d)\b(.*)$")
 _KEY_YEAR = re.compile(r"^(.*?)\s+((?:19|20)\d\d)$")
 _SWITCH, _FAR = 1.2, 6.0
-STATES = (0, 3, 6, -3, -6)
+#: Factors a reader may have applied; 2 and 4 only where they are the whole way to the common unit.
+STATES = (0, 3, 6, 2, 4, -3, -6)
+
+_STATE = np.array(STATES, float)
+_PRIOR = 0.01 * np.abs(_STATE) + 0.02 * (_STATE < 0)
+_MOVE = np.where(np.eye(len(STATES), dtype=bool), 0.0, _SWITCH)
+_RARE = np.isin(STATES, (2, 4))
 
 
 def parse_printed(text: str) -> float | None:
     """A printed number: blanks or points group thousands, the comma is decimal; look-alike letters count as digits."""
-    t = text.strip().replace(" ", " ").replace(" ", " ")
-    negative = t.startswith(("-", "−", "(")) or t.endswith("-")
-    t = t.strip("()-− ").translate(DIGIT_FOR).replace(" ", "")
+    t = re.sub(rf"[{_BLANKS}]", " ", text.strip())
+    negative = t.startswith(("-", "\u2212", "(")) or t.endswith("-")
+    t = t.strip("()-\u2212 ").translate(DIGIT_FOR).replace(" ", "")
     if "," in t and "." in t and t.rindex(".") > t.rindex(","):
         t = t.replace(",", "")
     else:
@@ -74,6 +83,7 @@ def parse_printed(text: str) -> float | None:
     return -value if negative else value
 
 
+@lru_cache(65536)
 def unit_of(text: str, money_only: bool = False) -> int | None:
     """Exponent of the first unit that the text names; of several at one place the longest."""
     best = None
@@ -88,9 +98,12 @@ _CAPTION_ONLY = re.compile(rf"(?<!\w)(?:{CAPTION_WORDS})(?!\w)|[\s.:()\[\]*;-]",
 _ALL_UNITS = re.compile("|".join(rf"(?<!\w)(?:{p})(?!\w)" for group in (QUANTITY, MONEY) for _, p in group), re.I)
 
 
+_CAPTION_START = re.compile(rf"\W*(?:{_ALL_UNITS.pattern}|(?:{CAPTION_WORDS})(?!\w))", re.I)
+
+
 def caption_unit(line: str) -> int | None:
     """Exponent of a line that says nothing but the unit of the note; None for any other line."""
-    if "\t" in line or len(line) > 90:
+    if "\t" in line or len(line) > 90 or not _CAPTION_START.match(line):
         return None
     e = unit_of(line)
     if e is None:
@@ -99,10 +112,12 @@ def caption_unit(line: str) -> int | None:
     return e if not rest else None
 
 
+@lru_cache(65536)
 def _fold(text: str) -> str:
-    return re.sub(r"[\s ]+", " ", text.lower().translate(_NOISE).replace("rn", "m")).strip()
+    return re.sub(r"\s+", " ", text.lower().translate(_NOISE).replace("rn", "m")).strip()
 
 
+@lru_cache(65536)
 def _label_unit(label: str) -> int | None:
     """A unit set off in the label: in brackets, or after 'i' at its end."""
     for inner in reversed(re.findall(r"[(\[]([^()\[\]]*)[)\]]", label)):
@@ -133,8 +148,8 @@ def _tables(lines: list[str]) -> list[tuple[str, dict[str, tuple[str, int | None
 
 
 def _prose(text: str) -> str:
-    text = re.sub(r"[-‐­¬]\n", "", text)
-    return re.sub(r"[\s ]+", " ", text)
+    text = re.sub(r"[-\u2010\u00ad\u00ac]\n", "", text)
+    return re.sub(r"\s+", " ", text)
 
 
 _AFTER = re.compile(
@@ -161,24 +176,22 @@ def _in_prose(name: str, flat: str) -> tuple[float, int] | None:
     return None
 
 
-def viterbi(jumps: list[float | None]) -> list[int]:
+def viterbi(jumps: list[float | None], units: list[int]) -> list[int]:
     """Most likely factor (power of ten) that the reader applied to each entry.
 
     A jump is log10(recorded) - log10(printed), None where it can't be told. Emission: distance of
     the jump to the state, none for missing ones; transition: staying is free.
     """
     n, k = len(jumps), len(STATES)
-    states = np.array(STATES, float)
-    prior = 0.01 * np.abs(states) + 0.02 * (states < 0)
-    move = np.where(np.eye(k, dtype=bool), 0.0, _SWITCH)
-    cost, back = prior.copy(), np.zeros((n, k), int)
+    cost, back = _PRIOR.copy(), np.zeros((n, k), int)
     for i, j in enumerate(jumps):
         if i:
-            total = cost[:, None] + move
+            total = cost[:, None] + _MOVE
             back[i] = total.argmin(0)
             cost = total.min(0)
+        cost = cost + np.where(_RARE & (_STATE != units[i]), 2 * _FAR, 0.0)
         if j is not None:
-            cost = cost + np.minimum(np.abs(j - states) * 2, _FAR)
+            cost = cost + np.minimum(np.abs(j - _STATE) * 2, _FAR)
     at = int(cost.argmin())
     path = [at]
     for i in range(n - 1, 0, -1):
@@ -232,7 +245,7 @@ def entry_exponents(tittel: str | None, raw_text: str | None, amounts: list[tupl
         keys.append(key)
         units.append(unit if unit is not None else note_unit if note_unit is not None else 0)
         jumps.append(math.log10(abs(value)) - math.log10(abs(printed)) if printed and value else None)
-    return [(k, u - s) for k, u, s in zip(keys, units, viterbi(jumps), strict=True)] if keys else []
+    return [(k, u - s) for k, u, s in zip(keys, units, viterbi(jumps, units), strict=True)] if keys else []
 
 
 def missing_exponents(noter: DataFrame) -> DataFrame:
