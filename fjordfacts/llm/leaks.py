@@ -8,8 +8,8 @@
    size items' words x rank are summed up.
 3. Candidate search: passages of a stretch whose cosine to a passage of an item reaches a bound.
 4. Check: the longest common subsequence of stretch and item, as a local alignment that pays for
-   gaps, must cover `least` running words of the item; numbers, the answers of these texts, must
-   agree where many words differ.
+   gaps, must cover `least` running words of the item; at least half of the numbers in them, the
+   answers of these texts, must agree: items share whole phrases, but not their numbers.
 
 Items are the query side. They are taken in blocks of bounded size, so what is broadcast has a bound.
 """
@@ -35,10 +35,10 @@ BLOCK = 4096
 PASSAGE, STEP = 28, 7
 RANK, OVERSAMPLING, POWER_ROUNDS = 96, 16, 2
 #: Item word pairs within NEAR words of each other that a stretch must hold.
-NEAR, PAIRS, MARGIN = 40, 11, 36
+NEAR, PAIRS, MARGIN, BAND = 40, 15, 36, 8
 COSINE = 0.4
 #: Running words of the item that make a leak; gap and mismatch costs of the alignment; least share of matching words.
-LEAST, GAP, SHARE = 25, 0.6, 0.55
+LEAST, GAP, SHARE = 25, 0.6, 0.7
 
 _WORD = re.compile(r"\w+")
 _INVISIBLE = dict.fromkeys([*range(0x200B, 0x2010), 0x2060, 0xFEFF, 0x00AD, 0x180E, *range(0x202A, 0x202F)])
@@ -105,15 +105,53 @@ class Items:
     vocabulary: dict[str, int]
     numeric: np.ndarray
     pairs: np.ndarray
+    pair_from: np.ndarray
+    pair_items: np.ndarray
+    pair_at: np.ndarray
+    longest: int
 
     @staticmethod
     def of(rows: list[tuple[int, str]]) -> Items:
         vocabulary: dict[str, int] = {}
         sequences = [np.array([vocabulary.setdefault(skeleton(w), len(vocabulary)) for w in words(text)], np.int64) for _, text in rows]
         v = len(vocabulary)
-        near = [s[:-d] * v + s[d:] for s in sequences for d in (1, 2) if len(s) > d]
+        near = [(i, s[:-d] * v + s[d:]) for i, s in enumerate(sequences) for d in (1, 2) if len(s) > d]
+        both = np.unique(np.concatenate([np.stack((k, np.full(len(k), i), np.arange(len(k))), 1) for i, k in near]), axis=0) if near else np.zeros((0, 3), np.int64)
+        pairs, first = np.unique(both[:, 0], return_index=True)
         numeric = np.array([w.isdigit() for w in vocabulary], bool)
-        return Items([i for i, _ in rows], sequences, vocabulary, numeric, np.unique(np.concatenate(near)) if near else np.zeros(0, np.int64))
+        return Items([i for i, _ in rows], sequences, vocabulary, numeric, pairs, np.r_[first, len(both)], both[:, 1], both[:, 2], max(map(len, sequences), default=0))
+
+    def with_pairs(self, w: np.ndarray, least: int, near: int) -> list[tuple[int, int, int]]:
+        """(item, first, last): items of which the stretch begins word pairs at `least` places in one band of diagonals and within `near` words, and where those lie.
+
+        Bands are 2 * BAND diagonals wide and overlap by half, so a line of other words between two halves of a passage doesn't part them.
+        """
+        v, found = len(self.vocabulary), []
+        for d in (1, 2):
+            a, b = w[:-d], w[d:]
+            at = np.flatnonzero((a >= 0) & (b >= 0))
+            key = a[at] * v + b[at]
+            pos = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
+            ok = self.pairs[pos] == key
+            pos, at = pos[ok], at[ok]
+            n = self.pair_from[pos + 1] - self.pair_from[pos]
+            where = np.repeat(self.pair_from[pos], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            at = np.repeat(at, n)
+            band = (at - self.pair_at[where] + self.longest) // BAND
+            wide = (self.longest + len(w)) // BAND + 2
+            for shift in (0, 1):
+                found.append(((self.pair_items[where] * wide + band + shift) * (len(w) + 1)) + at)
+        key = np.unique(np.concatenate(found))
+        group, at = key // (len(w) + 1), key % (len(w) + 1)
+        k = least - 1
+        if len(key) <= k:
+            return []
+        dense = np.flatnonzero((group[k:] == group[: len(group) - k]) & (at[k:] - at[: len(at) - k] <= near))
+        out: dict[int, tuple[int, int]] = {}
+        for j in dense:
+            i, lo, hi = int(group[j]) // wide, int(at[j]), int(at[j + k])
+            out[i] = (min(lo, out[i][0]), max(hi, out[i][1])) if i in out else (lo, hi)
+        return [(i, lo, hi) for i, (lo, hi) in out.items()]
 
     def windows(self) -> tuple[np.ndarray, list[np.ndarray]]:
         owner, out = [], []
@@ -261,35 +299,48 @@ def latent_space(stretches: DataFrame, items: Items, idf: np.ndarray, rank: int
     return basis[:, :rank]
 
 
-def align(doc: np.ndarray, item: np.ndarray, numeric: np.ndarray) -> tuple[int, int, int, int]:
-    """Best local alignment: running words of the item it covers, matching words, item numbers covered, numbers matching.
+def align(docs: list[np.ndarray], items: list[np.ndarray], numeric: np.ndarray) -> np.ndarray:
+    """Of each pair the best local alignment: running words of the item it covers, matching words, item numbers covered, numbers matching.
 
-    A common subsequence in which every word left out on either side costs GAP.
+    A common subsequence in which every word left out on either side costs GAP. The pairs of a
+    batch advance together, one word of all documents at a time.
     """
-    n, m = len(doc), len(item)
-    score = np.zeros((n + 1, m + 1))
-    steps = np.arange(m + 1) * GAP
-    for i in range(1, n + 1):
-        same = doc[i - 1] == item
-        best = np.maximum(score[i - 1, 1:] - GAP, np.where(same, score[i - 1, :-1] + 1, score[i - 1, :-1] - GAP))
-        row = np.r_[0.0, np.maximum(best, 0)]
-        # gaps along the item: running maximum of score + GAP * position
-        score[i] = np.maximum(row, np.maximum.accumulate(row + steps) - steps)
-    i, j = np.unravel_index(int(score.argmax()), score.shape)
-    end, matched, numbers = j, 0, 0
-    while i and j and score[i, j] > 1e-9:
-        s = score[i, j]
-        if doc[i - 1] == item[j - 1] and abs(s - score[i - 1, j - 1] - 1) < 1e-9:
-            matched += 1
-            numbers += bool(numeric[item[j - 1]])
-            i, j = i - 1, j - 1
-        elif abs(s - score[i - 1, j - 1] + GAP) < 1e-9:
-            i, j = i - 1, j - 1
-        elif abs(s - score[i - 1, j] + GAP) < 1e-9:
-            i -= 1
-        else:
-            j -= 1
-    return end - j, matched, int(numeric[item[j:end]].sum()), numbers
+    size, n, m = len(docs), max(map(len, docs)), max(map(len, items))
+    d, t = np.full((size, n), -1), np.full((size, m), -2)
+    for r in range(size):
+        d[r, : len(docs[r])], t[r, : len(items[r])] = docs[r], items[r]
+    is_number = np.where(t >= 0, numeric[np.maximum(t, 0)], False).astype(np.int64)
+    upto = np.concatenate((np.zeros((size, 1), np.int64), np.cumsum(is_number, 1)), 1)
+    column = np.arange(m + 1)
+    steps = column * GAP
+    score = np.zeros((size, m + 1))
+    # start of the alignment, matches and matching numbers travel along packed in one integer
+    unit_match, unit_number, base = 1 << 20, 1 << 10, np.broadcast_to(column, (size, m + 1)).astype(np.int64)
+    state = base.copy()
+    best, best_state, best_end = np.zeros(size), np.zeros(size, np.int64), np.zeros(size, np.int64)
+    for i in range(n):
+        same = d[:, i : i + 1] == t
+        diagonal = np.where(same, score[:, :-1] + 1, score[:, :-1] - GAP)
+        down = score[:, 1:] - GAP
+        pick = diagonal >= down
+        row = np.zeros_like(score)
+        row[:, 1:] = np.maximum(np.where(pick, diagonal, down), 0)
+        moved = base.copy()
+        came = np.where(pick, state[:, :-1] + same * (unit_match + is_number * unit_number), state[:, 1:])
+        moved[:, 1:] = np.where(row[:, 1:] > 0, came, base[:, 1:])
+        lifted = row + steps
+        top = np.maximum.accumulate(lifted, 1)
+        source = np.maximum.accumulate(np.where(lifted >= top, column, 0), 1)
+        score = top - steps
+        state = np.take_along_axis(moved, source, 1)
+        at = score.argmax(1)
+        now = score[np.arange(size), at]
+        better = now > best
+        best[better], best_end[better] = now[better], at[better]
+        best_state[better] = state[np.arange(size), at][better]
+    start = best_state & unit_number - 1
+    rows = np.arange(size)
+    return np.stack((best_end - start, best_state >> 20, upto[rows, best_end] - upto[rows, start], best_state >> 10 & 1023), 1)
 
 
 def _candidates(passages: list[np.ndarray], basis: np.ndarray, idf: np.ndarray, item_vectors: np.ndarray, owner: np.ndarray) -> set[int]:
@@ -331,18 +382,28 @@ def _leaked_block(documents: DataFrame, items: Items, id_col: str, text_col: str
     owner, passages = items.windows()
     vectors = _times(*_tfidf(passages, idf), len(passages), basis)
     vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)
-    shared = spark.sparkContext.broadcast((items.ids, items.sequences, items.numeric, idf, basis, vectors, owner))
+    shared = spark.sparkContext.broadcast((items, idf, basis, vectors, owner))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids, sequences, numeric, weights, right, item_vectors, owners = shared.value
+        block, weights, right, item_vectors, owners = shared.value
         for pdf in batches:
-            found = []
-            for doc, w in zip(pdf["doc_id"], pdf["w"], strict=True):
+            doc, item, own, theirs = [], [], [], []
+            for k, w in zip(pdf["doc_id"], pdf["w"], strict=True):
                 w = np.asarray(w, np.int64)
-                for i in sorted(_candidates(_stretch_passages(w), right, weights, item_vectors, owners)):
-                    covered, matched, numbers, same = align(w, sequences[i], numeric)
-                    if covered >= least and matched >= SHARE * covered and (matched >= 0.75 * covered or 2 * same >= numbers):
-                        found.append((doc, ids[i], covered, matched))
+                close = _candidates(_stretch_passages(w), right, weights, item_vectors, owners)
+                for i, lo, hi in block.with_pairs(w, PAIRS, NEAR):
+                    if i in close:
+                        doc.append(k)
+                        item.append(i)
+                        own.append(w[max(0, lo - MARGIN) : hi + MARGIN])
+                        theirs.append(block.sequences[i])
+            found = []
+            order = np.argsort([len(w) for w in own], kind="stable")
+            for at in range(0, len(order), 256):
+                some = order[at : at + 256]
+                for r, (covered, matched, numbers, same) in zip(some, align([own[r] for r in some], [theirs[r] for r in some], block.numeric), strict=True):
+                    if covered >= least and matched >= SHARE * covered and 2 * same >= numbers:
+                        found.append((doc[r], block.ids[item[r]], int(covered), int(matched)))
             yield pd.DataFrame(found, columns=["doc_id", "item_id", "words", "matched"])
 
     spread = stretches.select("doc_id", "w").repartition(F.xxhash64("doc_id", F.size("w")))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fjordfacts.llm import chunking, mixing, survivors
+from fjordfacts.llm import chunking, leaks, mixing, survivors
 from fjordfacts.session import cut, table
 
 
@@ -21,6 +21,14 @@ def p5_truth(spark: SparkSession, sf_dir: str) -> DataFrame:
     return survivors.discover(_claims(spark, sf_dir))[0]
 
 
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p7_leaks(spark, sf_dir).select("doc_id", "item_id")
+
+
+def p7_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks.leaked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
+
+
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = cut(mixing.histogram(mixing.lengths(table(spark, sf_dir, "documents"), keep_ids=False)))
     return mixing.short_sources(counts, table(spark, sf_dir, "mix_targets"))
@@ -52,7 +60,7 @@ def p9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunking.pieces(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p5_found, p5_truth, p8_found, p8_mixture, p8_shares, p9_found, p9_pieces)}
+QUERIES = {f.__name__: f for f in (p5_found, p5_truth, p7_found, p7_leaks, p8_found, p8_mixture, p8_shares, p9_found, p9_pieces)}
 
 ORACLE = {
     "p5_found": """
