@@ -5,10 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fjordfacts.llm import chunking, leaks, mixing, survivors
+from fjordfacts.llm import chunking, leaks, mixing, ocr_text, survivors
 from fjordfacts.session import cut, table
 
 
+def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ocr_text.pages(table(spark, sf_dir, "noter"), table(spark, sf_dir, "generell_info"))
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ocr_text.found_lines(cut(ocr_text.lines(_pages(spark, sf_dir))))
+
+
+def p1_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    page_rows = cut(_pages(spark, sf_dir))
+    counts = cut(ocr_text.word_counts(ocr_text.lines(page_rows)))
+    return ocr_text.repaired(page_rows, cut(ocr_text.misread_words(counts)))
+
+
 def _claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     return survivors.claims(table(spark, sf_dir, "records"), table(spark, sf_dir, "noter"), table(spark, sf_dir, "kilder"))
 
@@ -60,7 +74,7 @@ def p9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunking.pieces(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p5_found, p5_truth, p7_found, p7_leaks, p8_found, p8_mixture, p8_shares, p9_found, p9_pieces)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_repaired, p5_found, p5_truth, p7_found, p7_leaks, p8_found, p8_mixture, p8_shares, p9_found, p9_pieces)}
 
 ORACLE = {
     "p5_found": """
