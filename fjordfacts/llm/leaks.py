@@ -37,6 +37,8 @@ RANK, OVERSAMPLING, POWER_ROUNDS = 96, 16, 2
 #: Item word pairs within NEAR words of each other that a stretch must hold.
 NEAR, PAIRS, MARGIN, BAND = 40, 15, 36, 8
 COSINE = 0.4
+#: Words around the shared pairs that the alignment looks at, on either side.
+EDGE = 14
 #: Running words of the item that make a leak; gap and mismatch costs of the alignment; least share of matching words.
 LEAST, GAP, SHARE = 25, 0.6, 0.7
 
@@ -121,8 +123,8 @@ class Items:
         numeric = np.array([w.isdigit() for w in vocabulary], bool)
         return Items([i for i, _ in rows], sequences, vocabulary, numeric, pairs, np.r_[first, len(both)], both[:, 1], both[:, 2], max(map(len, sequences), default=0))
 
-    def with_pairs(self, w: np.ndarray, least: int, near: int) -> list[tuple[int, int, int]]:
-        """(item, first, last): items of which the stretch begins word pairs at `least` places in one band of diagonals and within `near` words, and where those lie.
+    def with_pairs(self, w: np.ndarray, least: int, near: int) -> list[tuple[int, int, int, int, int]]:
+        """(item, first, last, item_first, item_last): items of which the stretch begins word pairs at `least` places in one band of diagonals and within `near` words, and where those lie in the stretch and in the item.
 
         Bands are 2 * BAND diagonals wide and overlap by half, so a line of other words between two halves of a passage doesn't part them.
         """
@@ -147,11 +149,13 @@ class Items:
         if len(key) <= k:
             return []
         dense = np.flatnonzero((group[k:] == group[: len(group) - k]) & (at[k:] - at[: len(at) - k] <= near))
-        out: dict[int, tuple[int, int]] = {}
+        out: dict[int, tuple[int, int, int, int]] = {}
         for j in dense:
             i, lo, hi = int(group[j]) // wide, int(at[j]), int(at[j + k])
-            out[i] = (min(lo, out[i][0]), max(hi, out[i][1])) if i in out else (lo, hi)
-        return [(i, lo, hi) for i, (lo, hi) in out.items()]
+            middle = self.longest - int(group[j]) % wide * BAND
+            a, b, c, d = out.get(i, (lo, hi, lo + middle - BAND, hi + middle + BAND))
+            out[i] = (min(lo, a), max(hi, b), min(lo + middle - BAND, c), max(hi + middle + BAND, d))
+        return [(i, *x) for i, x in out.items()]
 
     def windows(self) -> tuple[np.ndarray, list[np.ndarray]]:
         owner, out = [], []
@@ -280,7 +284,7 @@ def latent_space(stretches: DataFrame, items: Items, idf: np.ndarray, rank: int
             right, weights = shared.value
             total = np.zeros((len(weights), right.shape[1]))
             for pdf in batches:
-                passages = [p for w in pdf["w"] for p in _stretch_passages(np.asarray(w, np.int64))]
+                passages = [x[a : a + PASSAGE] for x in (np.asarray(w, np.int64) for w in pdf["w"]) for a in range(0, len(x), PASSAGE)]
                 if passages:
                     total += gram(_tfidf(passages, weights), len(passages), right)
             where = np.flatnonzero(np.abs(total).sum(1) > 0)
@@ -309,19 +313,19 @@ def align(docs: list[np.ndarray], items: list[np.ndarray], numeric: np.ndarray)
     d, t = np.full((size, n), -1), np.full((size, m), -2)
     for r in range(size):
         d[r, : len(docs[r])], t[r, : len(items[r])] = docs[r], items[r]
-    is_number = np.where(t >= 0, numeric[np.maximum(t, 0)], False).astype(np.int64)
-    upto = np.concatenate((np.zeros((size, 1), np.int64), np.cumsum(is_number, 1)), 1)
-    column = np.arange(m + 1)
-    steps = column * GAP
-    score = np.zeros((size, m + 1))
+    is_number = np.where(t >= 0, numeric[np.maximum(t, 0)], False).astype(np.int32)
+    upto = np.concatenate((np.zeros((size, 1), np.int32), np.cumsum(is_number, 1, dtype=np.int32)), 1)
+    column = np.arange(m + 1, dtype=np.int32)
+    steps = (column * GAP).astype(np.float32)
+    score = np.zeros((size, m + 1), np.float32)
     # start of the alignment, matches and matching numbers travel along packed in one integer
-    unit_match, unit_number, base = 1 << 20, 1 << 10, np.broadcast_to(column, (size, m + 1)).astype(np.int64)
+    unit_match, unit_number, base = np.int32(1 << 20), np.int32(1 << 10), np.broadcast_to(column, (size, m + 1)).astype(np.int32)
     state = base.copy()
     best, best_state, best_end = np.zeros(size), np.zeros(size, np.int64), np.zeros(size, np.int64)
     for i in range(n):
         same = d[:, i : i + 1] == t
-        diagonal = np.where(same, score[:, :-1] + 1, score[:, :-1] - GAP)
-        down = score[:, 1:] - GAP
+        diagonal = score[:, :-1] + np.where(same, np.float32(1), np.float32(-GAP))
+        down = score[:, 1:] - np.float32(GAP)
         pick = diagonal >= down
         row = np.zeros_like(score)
         row[:, 1:] = np.maximum(np.where(pick, diagonal, down), 0)
@@ -391,12 +395,12 @@ def _leaked_block(documents: DataFrame, items: Items, id_col: str, text_col: str
             for k, w in zip(pdf["doc_id"], pdf["w"], strict=True):
                 w = np.asarray(w, np.int64)
                 close = _candidates(_stretch_passages(w), right, weights, item_vectors, owners)
-                for i, lo, hi in block.with_pairs(w, PAIRS, NEAR):
+                for i, lo, hi, first, last in block.with_pairs(w, PAIRS, NEAR):
                     if i in close:
                         doc.append(k)
                         item.append(i)
-                        own.append(w[max(0, lo - MARGIN) : hi + MARGIN])
-                        theirs.append(block.sequences[i])
+                        own.append(w[max(0, lo - EDGE) : hi + EDGE])
+                        theirs.append(block.sequences[i][max(0, first - EDGE) : last + EDGE])
             found = []
             order = np.argsort([len(w) for w in own], kind="stable")
             for at in range(0, len(order), 256):
