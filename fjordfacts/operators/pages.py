@@ -10,14 +10,14 @@ REGISTRY_WIDTH = 1728
 AUDIT_HEIGHTS = (2140, 2337)
 #: Ink and white as mean grey of a row; blank rows that end a block; shortest block; narrowest column gap.
 INK, LINE_INK, MIN_GAP, MIN_BLOCK, COLUMN_GAP = 245, 240, 40, 15, 40
-_DOC = Window.partitionBy("doc_id")
 
 
 def split_pages(dims: DataFrame) -> DataFrame:
     """Adds brreg_last (pages of the leading run of registry width), source and nested_wrapper to (doc_id, page, img_w, img_h)."""
-    first_other = F.min(F.when(F.coalesce(F.col("img_w") != REGISTRY_WIDTH, F.lit(True)), F.col("page"))).over(_DOC)
-    last = F.coalesce(first_other - 1, F.max("page").over(_DOC)).cast("int")
-    df = dims.withColumns({"brreg_last": last, "n_pages": F.max("page").over(_DOC).cast("int")})
+    doc = Window.partitionBy("doc_id")
+    first_other = F.min(F.when(F.coalesce(F.col("img_w") != REGISTRY_WIDTH, F.lit(True)), F.col("page"))).over(doc)
+    last = F.coalesce(first_other - 1, F.max("page").over(doc)).cast("int")
+    df = dims.withColumns({"brreg_last": last, "n_pages": F.max("page").over(doc).cast("int")})
     registry = F.col("page") <= F.col("brreg_last")
     return df.withColumns({"source": F.when(registry, "registry").otherwise("company"), "nested_wrapper": ~registry & F.coalesce(F.col("img_w") == REGISTRY_WIDTH, F.lit(False))})
 
