@@ -107,7 +107,7 @@ def leader_clusters(hashes: DataFrame, max_distance: int = MAX_DISTANCE, order:
 
     rest, done = cut(rest), None
     while True:
-        head = cut(rest.orderBy("ord").limit(block).groupBy(F.lit(0)).applyInPandas(fold, schema))
+        head = cut(rest.orderBy("ord").limit(block).withColumn("_one", F.lit(0)).groupBy("_one").applyInPandas(fold, schema))
         done = head if done is None else done.unionByName(head)
         leaders = [(int(r["hash"]), int(r["ord"])) for r in head.where("hash = cluster").orderBy("ord").collect()]
         rest = rest.join(head.select("hash"), "hash", "left_anti")

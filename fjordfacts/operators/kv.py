@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fjordfacts.functions.amounts import find_amounts, normalize_amount
-from fjordfacts.functions.text import rstrip, strip
+from fjordfacts.functions.text import let, once, rstrip, strip
 
 # Labels of stamps and running heads.
 NO_LABELS = ("docusign", "envelope id", "noter til regnskapet")
@@ -41,8 +41,10 @@ def spaced_years(line: Column) -> Column:
 
 
 def _facts(line: Column) -> Column:
-    cs = cells(line)
-    return F.struct(line.alias("line"), cs.alias("cells"), F.transform(cs, lambda c: normalize_amount(c)).alias("values"), trailing_years(line).alias("tab_years"), spaced_years(line).alias("years"), (F.size(cs) > 0).alias("filled"), F.forall(cs, is_label).alias("labels"))
+    def read(cs: Column) -> Column:
+        return F.struct(line.alias("line"), cs.alias("cells"), F.transform(cs, lambda c: normalize_amount(c)).alias("values"), trailing_years(line).alias("tab_years"), spaced_years(line).alias("years"), (F.size(cs) > 0).alias("filled"), F.forall(cs, is_label).alias("labels"))
+
+    return let(cells(line), read)
 
 
 def headers(lines: Column) -> Column:
@@ -79,32 +81,42 @@ def _pairs(label: Column, labels: Column, values: Column) -> Column:
     return each.cast(_CELL)
 
 
+def _spaced(line: Column, body) -> Column:  # noqa: ANN001
+    """body(label, values) of the amounts in running text and what stands before the first."""
+    return let(find_amounts(line), lambda found: F.when(F.size(found) > 0, let(strip(F.substring(line, F.lit(1), F.get(found, F.lit(0))["start"])), lambda label: body(label, F.transform(found, lambda a: a["value"])))).otherwise(F.array().cast(_CELL)))
+
+
 def _row(x: Column, labels: Column) -> Column:
     none = F.array().cast(_CELL)
+
+    def table(run: Column) -> Column:
+        head = F.array_join(F.slice(x["cells"], 1, F.greatest(F.size(x["cells"]) - run, F.lit(0))), " ")
+
+        def named(label: Column) -> Column:
+            allowed = _good_label(label) & ~F.exists(F.array(*map(F.lit, NO_LABELS)), lambda b: F.contains(F.lower(label), b))
+            return F.when(allowed, _pairs(label, labels, F.slice(x["values"], F.size(x["values"]) - run + 1, run))).otherwise(none)
+
+        return F.when(run > 0, let(head, named)).otherwise(none)
+
     # the trailing run of numbers: everything after the last cell that is none
     run = F.aggregate(x["values"], F.lit(0), lambda a, v: F.when(v.isNull(), 0).otherwise(a + 1))
-    head = F.array_join(F.slice(x["cells"], 1, F.greatest(F.size(x["cells"]) - run, F.lit(0))), " ")
-    allowed = _good_label(head) & ~F.exists(F.array(*map(F.lit, NO_LABELS)), lambda b: F.contains(F.lower(head), b))
-    table = F.when((run > 0) & allowed, _pairs(head, labels, F.slice(x["values"], F.size(x["values"]) - run + 1, run))).otherwise(none)
-    line = strip(x["line"])
-    found = find_amounts(line)
-    before = strip(F.substring(line, F.lit(1), F.get(found, F.lit(0))["start"]))
-    spaced = F.when((F.size(found) > 0) & _good_label(before), _pairs(before, labels, F.transform(found, lambda a: a["value"]))).otherwise(none)
-    return F.when(F.size(x["cells"]) >= 2, table).when(x["filled"], spaced).otherwise(none)
+    spaced = _spaced(strip(x["line"]), lambda label, values: F.when(_good_label(label), _pairs(label, labels, values)).otherwise(none))
+    return F.when(F.size(x["cells"]) >= 2, let(run, table)).when(x["filled"], spaced).otherwise(none)
 
 
 def _unkeyed(x: Column) -> Column:
-    line = strip(F.replace(x["line"], F.lit("\t"), F.lit(" ")))
-    found = find_amounts(line)
-    label = strip(F.substring(line, F.lit(1), F.get(found, F.lit(0))["start"]))
-    one = F.array(F.struct(label.alias("label"), F.lit("").alias("col"), F.get(found, F.lit(0))["value"].alias("value"))).cast(_CELL)
-    return F.when((F.size(found) > 0) & (F.length(label) >= 2), one).otherwise(F.array().cast(_CELL))
+    def first(label: Column, values: Column) -> Column:
+        one = F.array(F.struct(label.alias("label"), F.lit("").alias("col"), F.get(values, F.lit(0)).alias("value"))).cast(_CELL)
+        return F.when(F.length(label) >= 2, one).otherwise(F.array().cast(_CELL))
+
+    return _spaced(strip(F.replace(x["line"], F.lit("\t"), F.lit(" "))), first)
 
 
 def facts(notes: DataFrame, text: str = "raw_text", keep: tuple[str, ...] = ("doc_id", "nr")) -> DataFrame:
     """keep, line_idx, pos, label, col, value: one row for each value, repeated keys included. Text without a header gives the first amount of each line under col ''."""
-    lines = F.transform(F.transform(F.split(text, "\n"), rstrip), _facts)
-    rows = notes.where(F.col(text).isNotNull()).select(*keep, lines.alias("lines")).withColumn("headers", headers(F.col("lines")))
+    lines = F.transform(F.transform(F.split("_text", "\n"), rstrip), _facts)
+    rows = once(notes.where(F.col(text).isNotNull()).select(*keep, F.col(text).alias("_text")), lines=lines).drop("_text")
+    rows = once(rows, headers=headers(F.col("lines")))
     keyed = F.transform("lines", lambda x, i: F.aggregate(F.filter("headers", lambda h: h["at"] < i), F.lit(None).cast("array<string>"), lambda a, h: h["labels"]))
     rows = rows.withColumn("columns", keyed).select(*keep, "headers", F.posexplode(F.arrays_zip("lines", "columns")).alias("line_idx", "z"))
     is_header = F.exists("headers", lambda h: h["at"] == F.col("line_idx"))

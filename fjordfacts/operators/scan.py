@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fjordfacts.functions.amounts import normalize_amount, two_number_split
-from fjordfacts.functions.text import let, lstrip, split_lines, strip
+from fjordfacts.functions.text import let, lstrip, once, split_lines, strip
 from fjordfacts.operators.schema import scan_labels
 
 _NUMS = "array<struct<v:double,at:int>>"
@@ -73,9 +73,10 @@ def page_lines(pages: DataFrame) -> DataFrame:
 
 
 def _matches(pages: DataFrame) -> DataFrame:
-    labels = F.broadcast(scan_labels(pages.sparkSession))
-    lines = page_lines(pages).where(F.length("line") > 0)
-    return lines.join(labels, anchored(F.col("line"), F.col("label")))
+    labels = F.broadcast(scan_labels(pages.sparkSession).withColumn("_want", F.lower("label")))  # 32 rows
+    lines = page_lines(pages).where(F.length("line") > 0).withColumn("_low", F.lower(F.ltrim("line")))
+    near = lines.join(labels, F.startswith(F.col("_low"), F.col("_want")) | (F.col("line").rlike(r"^[\t\u00a0\u2009]") & F.contains(F.col("_low"), F.col("_want"))))
+    return near.where(anchored(F.col("line"), F.col("label"))).drop("_low", "_want")
 
 
 def _first(rows: DataFrame) -> DataFrame:
@@ -89,7 +90,9 @@ def scan_fields(pages: DataFrame) -> DataFrame:
     Two or more numbers: the last two are this and last year. One number that isn't in the first column:
     this year's was lost. Else the next line is asked: two numbers there (wrapped), or one on each line (wrapped_value).
     """
-    rows = _matches(pages).withColumns({"nums": columns(_tail(F.col("line"), F.col("label"))), "more": F.when(F.col("next_line").isNotNull(), columns(F.col("next_line")))})
+    rows = once(_matches(pages), nums=columns(_tail(F.col("line"), F.col("label"))))
+    # the next line is only read where this one doesn't settle it
+    rows = once(rows, more=F.when(F.col("next_line").isNotNull() & (F.size("nums") < 2), columns(F.col("next_line"))))
     n, m = F.size("nums"), F.coalesce(F.size("more"), F.lit(0))
     kind = F.when(n >= 2, "two").when((n == 1) & (F.get("nums", F.lit(0))["at"] >= 2), "lost").when((n == 0) & (m >= 2), "wrapped").when((n == 1) & (m == 1), "wrapped_value")
     hits = _first(rows.withColumn("how", kind).where("how is not null"))
@@ -103,7 +106,7 @@ def scan_fields(pages: DataFrame) -> DataFrame:
 
 def scan_group_fields(pages: DataFrame) -> DataFrame:
     """As `scan_fields` for group statements: with four numbers the last two are the group's and the two before the parent's."""
-    rows = _matches(pages).withColumn("nums", group_columns(_tail(F.col("line"), F.col("label")))).where("size(nums) >= 2")
+    rows = once(_matches(pages), nums=group_columns(_tail(F.col("line"), F.col("label")))).where("size(nums) >= 2")
     four = F.size("nums") >= 4
     at = lambda i: F.try_element_at("nums", F.lit(i))
     return _first(rows).select("doc_id", "canonical", at(-2).alias("value"), at(-1).alias("value_prev"), F.when(four, at(-4)).alias("morselskap_value"), F.when(four, at(-3)).alias("morselskap_value_prev"), "page_idx", "line_idx", F.col("line").alias("raw_line"), F.col("label").alias("label_matched"), F.size("nums").alias("n_numbers"), F.when(four, "4col").otherwise("2col_fallback").alias("layout"))

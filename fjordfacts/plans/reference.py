@@ -134,7 +134,7 @@ def _words(spark: SparkSession, d: str) -> DataFrame:
 with w as (
   select doc_id, unnest(string_split(trim(regexp_replace(text, '[^A-Za-z0-9]+', ' ', 'g')), ' ')) as t, generate_subscripts(string_split(trim(regexp_replace(text, '[^A-Za-z0-9]+', ' ', 'g')), ' '), 1) - 1 as pos from documents),
 b as (select doc_id, pos // 8 as line_id, pos, t, (pos % 8) * 160 + (doc_id * 31 + pos * 17) % 5 * 25 as x from w where t <> ''),
-g as (select *, greatest(0, x - lag(x + 40) over (partition by doc_id, line_id order by x, pos)) as gap from b),
+g as (select *, case when lag(x) over (partition by doc_id, line_id order by x, pos) is not null then greatest(0, x - lag(x + 40) over (partition by doc_id, line_id order by x, pos)) end as gap from b),
 m as (select doc_id, line_id, list_sort(list(gap) filter (gap is not null)) as gs from g group by all),
 l as (select g.doc_id, g.line_id, string_agg(case when gap is null then '' when gap > greatest(2 * gs[len(gs) // 2 + 1], 30) then chr(9) else ' ' end || t, '' order by x, pos) as text from g join m on g.doc_id = m.doc_id and g.line_id = m.line_id group by all)
 select doc_id, 1 as page_no, string_agg(text, chr(10) order by line_id) as text from l group by doc_id""")
@@ -168,9 +168,9 @@ def d7_enrich(spark: SparkSession, d: str) -> DataFrame:
 
 @query("""
 select o_orderkey as doc_id, 'Sum ordre' as label, '2021' as col, floor(o_totalprice)::double as value from orders
-union all select o_orderkey, 'Sum ordre', '2020', (o_custkey + 1000)::double from orders""")
+union all select o_orderkey, 'Sum ordre', '2020', (o_custkey + 3000)::double from orders""")
 def e1_known_facts(spark: SparkSession, d: str) -> DataFrame:
-    text = F.concat(F.lit("\t2021\t2020\nSum ordre\t"), F.replace(F.format_number(F.floor("o_totalprice"), 0), F.lit(","), F.lit(" ")), F.lit("\t"), (F.col("o_custkey") + 1000).cast("string"))
+    text = F.concat(F.lit("\t2021\t2020\nSum ordre\t"), F.replace(F.format_number(F.floor("o_totalprice"), 0), F.lit(","), F.lit(" ")), F.lit("\t"), (F.col("o_custkey") + 3000).cast("string"))
     rows = table(spark, d, "orders").select(F.col("o_orderkey").alias("doc_id"), text.alias("raw_text"))
     return kv.facts(rows, keep=("doc_id",)).select("doc_id", "label", "col", "value")
 
@@ -384,7 +384,7 @@ select l_orderkey as doc_id, 'f' as field, row_number() over (partition by l_ord
 @query(f"""
 with v as ({_VOTES}),
 c as (select doc_id, field, max(v1_value) as v1, max(api_value) as api, count(*) filter (abs(value - api_value) <= greatest(abs(api_value) * 0.01, 1000)) as a, count(*) filter (abs(value - v1_value) <= greatest(abs(v1_value) * 0.01, 1000)) as t from v group by all),
-g as (select doc_id, field, value, count(*) as n, min(strategy_ord) as o from v where value is not null group by all qualify row_number() over (partition by doc_id, field order by n desc, o) = 1)
+g as (select doc_id, field, value, count(*) as n, min(strategy_ord) as o from v where value is not null group by doc_id, field, value qualify row_number() over (partition by doc_id, field order by n desc, o) = 1)
 select c.doc_id, c.field, case when (a >= 2 and a > t) or (a = t and a > 0) then api when t >= 2 and t > a then v1 else g.value end as reconciled_value,
   case when a >= 2 and a > t then 'ocr_misread_corrected' when t >= 2 and t > a then 'api_disagrees_with_pdf' when a = t and a > 0 then 'ambiguous_default_api' when g.value is null then 'all_strategies_failed'
     when abs(g.value - api) <= greatest(abs(api) * 0.01, 1000) then 'ocr_misread_corrected' else 'ambiguous_consensus_disagrees_api' end as diagnosis
