@@ -288,7 +288,8 @@ def latent_space(stretches: DataFrame, items: Items, idf: np.ndarray, rank: int
                 if passages:
                     total += gram(_tfidf(passages, weights), len(passages), right)
             where = np.flatnonzero(np.abs(total).sum(1) > 0)
-            yield pd.DataFrame({"word": where, "x": [total[i] for i in where]})
+            if len(where):
+                yield pd.DataFrame({"word": where, "x": [total[i] for i in where]})
 
         def add(pdf: pd.DataFrame) -> pd.DataFrame:
             return pd.DataFrame({"word": [pdf["word"].iloc[0]], "x": [np.stack(pdf["x"].to_numpy()).sum(0)]})
