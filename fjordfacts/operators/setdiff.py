@@ -186,6 +186,8 @@ def _solved(evaluations: DataFrame, bound: int) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
+            if not len(pdf):
+                continue
             pdf = pdf.reset_index(drop=True)
             surplus = (pdf["n_a"] - pdf["n_b"]).to_numpy()
             top_of, low_of, ok = [None] * len(pdf), [None] * len(pdf), np.zeros(len(pdf), bool)
@@ -211,6 +213,8 @@ def _roots(both: DataFrame, solved: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
+            if not len(pdf):
+                continue
             pdf = pdf.reset_index(drop=True)
             hit = np.zeros(len(pdf), bool)
             degree = pdf["poly"].map(len).to_numpy()
