@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from fjordfacts.functions import amounts
 from fjordfacts.operators import fingerprint, kv, layout, metadata, notes, pages, reconcile, runs, scan
 from fjordfacts.operators.schema import field_spec
-from fjordfacts.session import cut, table
+from fjordfacts.session import cut, table, tasks
 from fjordfacts.sources import io
 
 QUERIES: dict = {}
@@ -175,14 +175,20 @@ def e1_known_facts(spark: SparkSession, d: str) -> DataFrame:
     return kv.facts(rows, keep=("doc_id",)).select("doc_id", "label", "col", "value")
 
 
+def _note_texts(spark: SparkSession, d: str) -> DataFrame:
+    n = table(spark, d, "noter").select("doc_id", "nr", "raw_text")
+    # one shuffle serves the distinct and spreads the work
+    return n.repartition(tasks(n), "doc_id", "nr").distinct()
+
+
 @query()
 def e1_facts(spark: SparkSession, d: str) -> DataFrame:
-    return kv.facts(table(spark, d, "noter").select("doc_id", "nr", "raw_text").distinct())
+    return kv.facts(_note_texts(spark, d))
 
 
 @query()
 def e10_key_values(spark: SparkSession, d: str) -> DataFrame:
-    return kv.key_values(kv.facts(table(spark, d, "noter").select("doc_id", "nr", "raw_text").distinct()))
+    return kv.key_values(kv.facts(_note_texts(spark, d)))
 
 
 # ---- first page and setup ----
@@ -242,6 +248,7 @@ def _statement_pages(spark: SparkSession, d: str, cells: list) -> DataFrame:
     best = table(spark, d, "field_hits").where("abs(value) >= 1000 and abs(value_prev) >= 1000 and label_matched is not null").groupBy("doc_id", "canonical").agg(F.max(F.struct("label_matched", "value", "value_prev")).alias("m"))
     number = lambda c: c.cast("bigint").cast("string")
     line = F.concat_ws("\t", "m.label_matched", *(number(c) for c in cells))
+    best = best.repartition(tasks(table(spark, d, "field_hits")), "doc_id")
     return best.groupBy("doc_id").agg(F.array_join(F.array_sort(F.collect_list(line)), "\n").alias("text")).withColumn("page_no", F.lit(1))
 
 
@@ -465,7 +472,8 @@ def k10_audit_flags(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def k12_notes_flow(spark: SparkSession, d: str) -> DataFrame:
     """Pages to notes to scaled facts, end to end."""
-    found = notes.segment(_note_pages(spark, d)).withColumn("scale", amounts.detect_scale(F.substring("raw_text", 1, 300)))
+    found = notes.segment(_note_pages(spark, d))
+    found = found.repartition(tasks(table(spark, d, "noter")), "doc_id", "nr").withColumn("scale", amounts.detect_scale(F.substring("raw_text", 1, 300)))
     values = kv.key_values(kv.facts(found, keep=("doc_id", "nr", "scale")), keep=("doc_id", "nr", "scale"))
     return values.select("doc_id", "nr", "amount_key", (F.col("value") * F.col("scale")).alias("amount"))
 

@@ -56,6 +56,12 @@ def sized_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
     return F.broadcast(df) if size <= limit else df
 
 
+def tasks(df: DataFrame, mb: int = 8) -> int:
+    """Partitions for a stage that computes much on few bytes, by the plan's size estimate: enough for all cores, and more as the data grows."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return max(cores(df.sparkSession), min(200_000, -(-size // (mb << 20))))
+
+
 def cores(spark: SparkSession) -> int:
     return max(1, spark.sparkContext.defaultParallelism)
 
