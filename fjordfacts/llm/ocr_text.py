@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fjordfacts.session import cut, sized_broadcast
+from fjordfacts.session import cut, sized_broadcast, tasks
 
 # What scans take for one another.
 ALIKE = (
@@ -140,7 +140,9 @@ def pages(noter: DataFrame, generell_info: DataFrame) -> DataFrame:
     """(origin, doc_id, nr, name, text), distinct. Null texts are left out."""
     a = noter.select(F.lit("noter").alias("origin"), "doc_id", F.coalesce("nr", F.lit("")).alias("nr"), F.lit(None).cast("string").alias("name"), F.col("raw_text").alias("text"))
     b = generell_info.select(F.lit("generell_info").alias("origin"), "doc_id", F.lit("").alias("nr"), F.lit(None).cast("string").alias("name"), F.col("_ocr_text").alias("text"))
-    return a.unionByName(b).where("text is not null and doc_id is not null").distinct()
+    both = a.unionByName(b).where("text is not null and doc_id is not null")
+    # one shuffle serves the distinct and spreads the reading over all cores
+    return both.repartition(tasks(both), "origin", "doc_id", "nr").distinct()
 
 
 _LINE = "origin string, doc_id bigint, nr string, line_no int, kind string, words array<string>, left string, right string, number boolean"
