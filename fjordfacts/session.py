@@ -59,6 +59,8 @@ def sized_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
 def tasks(df: DataFrame, mb: int = 8) -> int:
     """Partitions for a stage that computes much on few bytes, by the plan's size estimate: enough for all cores, and more as the data grows."""
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size > 1 << 50:  # no estimate: the plan says so by an enormous number
+        return max(cores(df.sparkSession), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     return max(cores(df.sparkSession), min(200_000, -(-size // (mb << 20))))
 
 
