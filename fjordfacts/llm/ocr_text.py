@@ -295,9 +295,30 @@ def found_lines(line_rows: DataFrame) -> DataFrame:
     return furniture.unionByName(hyphen).unionByName(number).unionByName(own).distinct()
 
 
-def misread_words(counts: DataFrame) -> DataFrame:
-    """(word, right_word): words that hold a wrongly recognised character, with the best candidate (null if none is known)."""
-    best = corrections(counts).groupBy("word").agg(F.max_by("right_word", F.struct(-F.col("edits"), F.col("right_n"), F.col("right_word"))).alias("right_word"))
+def bigrams(line_rows: DataFrame) -> DataFrame:
+    """(before, word, n): how often a word follows another on a line, in lower case."""
+    low = F.transform("words", F.lower)
+    pairs = F.transform(F.sequence(F.lit(1), F.size("words") - 1), lambda i: F.struct(F.get(low, i - 1).alias("before"), F.get(low, i).alias("word")))
+    rows = line_rows.where("size(words) > 1").select(F.inline(pairs))
+    return rows.groupBy("before", "word").agg(F.count(F.lit(1)).alias("n"))
+
+
+def in_context(found: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Adds context: how often the candidate follows the words that stand before the misread one."""
+    asked = found.select("word", "right_word").join(pairs.select("before", "word", F.col("n").alias("n_wrong")), "word")
+    right = pairs.select("before", F.col("word").alias("right_word"), F.col("n").alias("n_right"))
+    support = asked.join(right, ["before", "right_word"]).groupBy("word", "right_word").agg(F.sum(F.col("n_wrong") * F.log1p("n_right")).alias("context"))
+    return found.join(support, ["word", "right_word"], "left").withColumn("context", F.coalesce("context", F.lit(0.0)))
+
+
+def misread_words(counts: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
+    """(word, right_word): words that hold a wrongly recognised character, with the best candidate (null if none is known).
+
+    Candidates rank by edits, then by the words before them if `pairs` (see `bigrams`) are given, then by frequency.
+    """
+    found = corrections(counts)
+    found = found.withColumn("context", F.lit(0.0)) if pairs is None else in_context(cut(found), pairs)
+    best = found.groupBy("word").agg(F.max_by("right_word", F.struct(-F.col("edits"), F.col("context"), F.col("right_n"), F.col("right_word"))).alias("right_word"))
     mixed = counts.where(F.col("word").rlike(r"^(?=.*\p{L}{2})(?=.*[\d|€†$£@!]).+$") & ~F.col("word").rlike(r"^\d+\p{L}+$|^\p{L}+\d+$|^\p{L}{1,2}\d+\p{L}?$")).select("word")
     foreign = counts.where(F.col("word").rlike(r"[|€†$£]") & F.col("word").rlike(r"\p{L}")).select("word")
     known = codes(counts)

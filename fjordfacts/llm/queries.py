@@ -19,8 +19,9 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p1_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
     page_rows = cut(_pages(spark, sf_dir))
-    counts = cut(ocr_text.word_counts(ocr_text.lines(page_rows)))
-    return ocr_text.repaired(page_rows, cut(ocr_text.misread_words(counts)))
+    line_rows = cut(ocr_text.lines(page_rows))
+    counts = cut(ocr_text.word_counts(line_rows))
+    return ocr_text.repaired(page_rows, cut(ocr_text.misread_words(counts, cut(ocr_text.bigrams(line_rows)))))
 
 
 def _claims(spark: SparkSession, sf_dir: str) -> DataFrame:
