@@ -44,21 +44,47 @@ COUNTED = ("antall aksjer", "antall eiere", "antall ansatte", "antall aksjonære
 DIGIT_FOR = str.maketrans({"O": "0", "o": "0", "Q": "0", "D": "0", "I": "1", "l": "1", "|": "1", "i": "1", "!": "1", "S": "5", "s": "5", "B": "8", "Z": "2", "z": "2", "G": "6", "b": "6", "g": "9", "q": "9", "A": "4"})
 _NOISE = str.maketrans({"0": "o", "1": "l", "|": "l", "5": "s", "6": "b", "8": "b", "9": "g", "€": "e", "†": "t", "i": "l", "!": "l"})
 
-_UNITS = [(e, re.compile(rf"(?<!\w)(?:{p})(?!\w)", re.I)) for group in (QUANTITY, MONEY) for e, p in group]
-_MONEY_UNITS = [(e, re.compile(rf"(?<!\w)(?:{p})(?!\w)", re.I)) for e, p in MONEY]
+_UNITS = [(group is MONEY, e, re.compile(rf"(?<!\w)(?:{p})(?!\w)", re.I)) for group in (QUANTITY, MONEY) for e, p in group]
+_MONEY_UNITS = [(money, e, rx) for money, e, rx in _UNITS if money]
 _BLANKS = " \u00a0\u2009\u202f"
 _DIGITS = "0-9OoIl|SsBZzGgbqAQD"
 _NUMBER = rf"[-\u2212(]?\s?(?:[{_DIGITS}]{{1,3}}(?:[{_BLANKS}.][{_DIGITS}]{{3}}(?!\w))+|[{_DIGITS}]+)(?:,[{_DIGITS}]+)?\)?"
 _YEAR_CELL = re.compile(r"^\s*((?:19|20)\d\d)\b(.*)$")
 _KEY_YEAR = re.compile(r"^(.*?)\s+((?:19|20)\d\d)$")
-_SWITCH, _FAR = 1.2, 6.0
-#: Factors a reader may have applied; 2 and 4 only where they are the whole way to the common unit.
-STATES = (0, 3, 6, 2, 4, -3, -6)
+_SWITCH, _FAR, _EXACT = 1.2, 6.0, 0.004
+#: Exponents of the units of one kind of quantity, with what tells the kind in a unit's spelling.
+KINDS = (
+    (frozenset({2, 0, -1}), re.compile(r"andel|%|prosent|promille|‰", re.I)),
+    (frozenset({4, 3, 0}), re.compile(r"hektar|ha\b|dekar|daa|m[åa]l\b|m²|m2|kvm|kvadratmeter", re.I)),
+    (frozenset({3, 2, 0, -1, -3}), re.compile(r"m³|m3|kubikkmeter|hl\b|liter|dl\b|ml\b", re.I)),
+    (frozenset({6, 3, 0, -3}), re.compile(r"tonn|kg|kilo|gram|wh\b", re.I)),
+)
+_MONEY_KIND = frozenset(e for e, _ in MONEY)
+#: Factors a reader may have applied: those of a whole note, then all other ways from a unit to another of its kind, which count only where they are just that.
+_WHOLE_NOTE = (0, 3, 6, -3, -6)
+STATES = (0, 3, 6, 2, 4, -3, -6, *sorted({a - b for kind in (_MONEY_KIND, *(k for k, _ in KINDS)) for a in kind for b in kind} - {2, 4, *_WHOLE_NOTE}, key=lambda s: (abs(s), s)))
 
 _STATE = np.array(STATES, float)
 _PRIOR = 0.01 * np.abs(_STATE) + 0.02 * (_STATE < 0)
 _MOVE = np.where(np.eye(len(STATES), dtype=bool), 0.0, _SWITCH)
-_RARE = np.isin(STATES, (2, 4))
+
+
+class Unit(int):
+    """An exponent that knows the exponents of all units of its kind."""
+
+    kind: frozenset = frozenset({0})
+
+    @staticmethod
+    def of(e: int, spelling: str, money: bool) -> "Unit":
+        out = Unit(e)
+        out.kind = _MONEY_KIND if money else next((k for k, rx in KINDS if rx.search(spelling)), Unit.kind)
+        return out
+
+
+@lru_cache(256)
+def _far(unit: int, kind: frozenset) -> np.ndarray:
+    """Cost of each state for an entry of the unit: rare states only lead to the common unit or another of its kind."""
+    return np.array([0.0 if s in _WHOLE_NOTE or s == unit or unit - s in kind else 2 * _FAR for s in STATES])
 
 
 def parse_printed(text: str) -> float | None:
@@ -87,11 +113,11 @@ def parse_printed(text: str) -> float | None:
 def unit_of(text: str, money_only: bool = False) -> int | None:
     """Exponent of the first unit that the text names; of several at one place the longest."""
     best = None
-    for e, rx in _MONEY_UNITS if money_only else _UNITS:
+    for money, e, rx in _MONEY_UNITS if money_only else _UNITS:
         m = rx.search(text)
         if m and (best is None or (m.start(), -m.end()) < best[0]):
-            best = ((m.start(), -m.end()), e)
-    return None if best is None else best[1]
+            best = ((m.start(), -m.end()), e, m[0], money)
+    return None if best is None else Unit.of(*best[1:])
 
 
 _CAPTION_ONLY = re.compile(rf"(?<!\w)(?:{CAPTION_WORDS})(?!\w)|[\s.:()\[\]*;-]", re.I)
@@ -189,9 +215,13 @@ def viterbi(jumps: list[float | None], units: list[int]) -> list[int]:
             total = cost[:, None] + _MOVE
             back[i] = total.argmin(0)
             cost = total.min(0)
-        cost = cost + np.where(_RARE & (_STATE != units[i]), 2 * _FAR, 0.0)
+        far = _far(int(units[i]), getattr(units[i], "kind", Unit.kind))
+        cost = cost + far
         if j is not None:
-            cost = cost + np.minimum(np.abs(j - _STATE) * 2, _FAR)
+            # a jump that is just the way between two units of the kind outweighs a switch to and fro
+            way = round(j)
+            sure = abs(j - way) < _EXACT and way in STATES and way not in _WHOLE_NOTE and not far[STATES.index(way)]
+            cost = cost + np.minimum(np.abs(j - _STATE) * (4 if sure else 2), _FAR)
     at = int(cost.argmin())
     path = [at]
     for i in range(n - 1, 0, -1):

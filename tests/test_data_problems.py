@@ -123,6 +123,20 @@ def test_units_settle_a_lost_number_by_its_neighbours():
     assert dict(units.entry_exponents("x", text, [("A 2020", 10000.0), ("Borte 2020", 5.0), ("C 2020", 30000.0)])) == {"A 2020": 0, "Borte 2020": 0, "C 2020": 0}
 
 
+def test_units_take_a_way_within_a_kind_of_quantity():
+    keys = lambda *values: [(f"{k} 2020", v) for k, v in zip("ABC", values, strict=True)]
+    text = "\t2020\nA (%)\t23,9\nB (%)\t11,0\nC (%)\t34,0\n"
+    shares = [(f"{k} (%) 2020", v) for k, v in (("A", 0.239), ("B", 0.11), ("C", 0.34))]
+    assert dict(units.entry_exponents("x", text, shares)) == {k: 2 for k, _ in shares}
+    assert dict(units.entry_exponents("x", text, [shares[0], (shares[1][0], 11.0), shares[2]])) == {shares[0][0]: 2, shares[1][0]: 0, shares[2][0]: 2}
+    lines = "\t2020\nA\t25,0\nB\t30,0\nC\t40,0\n"
+    assert dict(units.entry_exponents("Andeler (promille)", lines, keys(25.0, 3.0, 40.0))) == {"A 2020": -1, "B 2020": 0, "C 2020": -1}
+    assert dict(units.entry_exponents("Beløp (milliarder kroner)", lines, keys(25e9, 30e9, 40e9))) == {"A 2020": 0, "B 2020": 0, "C 2020": 0}
+    assert dict(units.entry_exponents("Areal (m2)", lines, keys(0.0025, 0.003, 0.004))) == {"A 2020": 4, "B 2020": 4, "C 2020": 4}
+    # no unit of money is a tenth or a hundredth of another: such a jump is a misread number
+    assert dict(units.entry_exponents("Beløp (kroner)", lines, keys(25.0, 300.0, 40.0))) == {"A 2020": 0, "B 2020": 0, "C 2020": 0}
+
+
 def test_units_query(spark):
     rows = [(1, "1", None, None, {"a": 1.0}), (1, "1", None, None, {"a": 1.0}), (2, "1", "t", "", None), (3, "2", "x", NOTE, {"Husleie 2020": 70.0, "Z": None})]
     df = spark.createDataFrame(rows, "doc_id long, nr string, tittel string, raw_text string, raw_amounts map<string,double>").selectExpr("*", "'e' as exp10", "1 as ks")
