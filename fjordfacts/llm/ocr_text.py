@@ -29,7 +29,7 @@ from fjordfacts.session import cut, sized_broadcast, tasks
 # What scans take for one another.
 ALIKE = (
     ("0", "oOøD"), ("1", "liIt"), ("|", "liI"), ("l", "iI"), ("I", "li"), ("!", "li"), ("2", "zZ"), ("3", "E"), ("4", "A"), ("5", "sS"),
-    ("6", "bGø"), ("7", "T"), ("8", "BS"), ("9", "gq"), ("€", "eE"), ("†", "tT"), ("$", "sS"), ("£", "E"), ("@", "a"),
+    ("6", "bGø"), ("7", "T"), ("8", "BS"), ("9", "gq"), ("€", "eE"), ("†", "tT"), ("$", "sS"), ("£", "E"), ("@", "a"), ("¢", "øc"), ("¤", "oø"), ("‡", "tT"), ("¦", "liI"), ("¥", "YV"), ("©", "oø"), ("®", "oø"), ("°", "oø"),
 )
 PAIRS = (("rn", "m"), ("cl", "d"), ("vv", "w"), ("ii", "u"))
 #: Times a word must be more frequent than another of letters only to be its right form; least count of the vocabulary.
@@ -37,6 +37,8 @@ RATIO, LEAST = 10, 5
 #: Vocabulary words of one trie.
 TRIE_WORDS = 20_000
 HYPHENS = "-‐‑­¬"
+#: Signs that belong to a word wherever they touch it, and those that do between two letters only; no word has either.
+MARKS, INNER = "|€†$£@!¢¤‡¦¥", r"#*~^°§©®¶{}\\"
 
 _FOLD = str.maketrans({"l": "i", "1": "i", "|": "i", "I": "i", "!": "i", "€": "e", "†": "t"})
 _D = r"[0-9OoIl|SsBZbgq]"
@@ -55,9 +57,12 @@ _ORG_LINE = re.compile(r"org\.?\s?nr\.?:?\s*[\dOoIl|SsBZ][\dOoIl|SsBZ  .]{7,12}
 _CAPS_NAME = re.compile(r"[A-ZÆØÅ0-9|€†][A-ZÆØÅ0-9|€†.&'  -]{3,60}\s(?:A[S5]|ASA|ANS|DA|SA|BA|NUF)", re.ASCII)
 _BARE = re.compile(rf"{_D}{{1,3}}")
 _LABEL = re.compile(r"[A-ZÆØÅ][^\W\d_]*(?: [^\W\d_]+){0,5}")
-_WORD = re.compile(r"[^\W_]+(?:[|€†$£@!][^\W_]+|[|€†$£@])*|[|€†$£@!]+[^\W_]+")
-_ODD_HALF = re.compile(r"[\d|€†$£@!]|rn|cl")
-_FOREIGN = re.compile(r"[\d|€†$£@!]")
+_ENDING = MARKS.replace("!", "")
+#: Java's syntax is the same, with (?U) before it.
+WORD = rf"[^\W_]+(?:[{MARKS}][^\W_]+|(?<=[^\W\d_])[{INNER}](?=[^\W\d_])[^\W_]+|[{_ENDING}])*|[{MARKS}]+[^\W_]+"
+_WORD = re.compile(WORD)
+_ODD_HALF = re.compile(rf"[\d{MARKS}]|rn|cl")
+_FOREIGN = re.compile(rf"[\d{MARKS}{INNER}]")
 _CELL_NUMBER = re.compile(r"[-−(]?\s?[0-9OoIl|SsBZzGgbqA][0-9OoIl|SsBZzGgbqA    .,]*\)?")
 _TRIPLE = re.compile(r"(?<![\w,.])[0-9OoIl|SsBZG]{1,3}(?:[    .][0-9OoIl|SsBZG]{3})+(?:,[0-9OoIl|SsBZG]+)?(?!\w)")
 _DECIMAL = re.compile(r"(?<![\w,.])[0-9OoIl|SsBZG]+,[0-9OoIl|SsBZG]+(?!\w)")
@@ -122,7 +127,7 @@ def read_page(text: str, name: str | None = None) -> list[tuple[int, str, list[s
         if moved and words is not None:
             words = [moved, *words]
         carried = moved = None
-        if end[-1] in HYPHENS and len(end) > 1 and (m := re.search(r"([^\W_][\w|€†$£@]*)$", end[:-1])) and after is not None and "\t" not in lines[after]:
+        if end[-1] in HYPHENS and len(end) > 1 and (m := re.search(rf"([^\W_][\w{_ENDING}]*)$", end[:-1])) and after is not None and "\t" not in lines[after]:
             nxt = _WORD.match(lines[after].lstrip())
             if nxt:
                 left, right, carried = m[1], nxt[0], nxt[0]
@@ -250,7 +255,7 @@ def corrections(counts: DataFrame, least: int = LEAST, ratio: int = RATIO) -> Da
     vocabulary = counts.where(plain & (F.col("n") >= least) & (F.length("word") >= 2)).select("word", "n", F.length("word").alias("len"))
     slices = vocabulary.groupBy("len").agg(F.ceil(F.count(F.lit(1)) / F.lit(TRIE_WORDS)).cast("int").alias("slices"))
     side_a = vocabulary.join(sized_broadcast(slices), "len").withColumn("slice", F.pmod(F.xxhash64("word"), F.col("slices")))
-    asked = counts.where((F.length("word") >= 2) & F.col("word").rlike(r"\p{L}") & (F.col("word").rlike(r"[\d|€†$£@!]") | (F.length("word") >= 4))).select("word", "n", F.length("word").alias("own"), _allowed(F.col("word")).alias("edits"))
+    asked = counts.where((F.length("word") >= 2) & F.col("word").rlike(r"\p{L}") & (F.col("word").rlike(_FOREIGN.pattern) | (F.length("word") >= 4))).select("word", "n", F.length("word").alias("own"), _allowed(F.col("word")).alias("edits"))
     reach = asked.withColumn("len", F.explode(F.sequence(F.col("own") - F.col("edits") - 1, F.col("own") + F.col("edits"))))
     side_b = reach.join(sized_broadcast(slices), "len").withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
 
@@ -319,8 +324,8 @@ def misread_words(counts: DataFrame, pairs: DataFrame | None = None) -> DataFram
     found = corrections(counts)
     found = found.withColumn("context", F.lit(0.0)) if pairs is None else in_context(cut(found), pairs)
     best = found.groupBy("word").agg(F.max_by("right_word", F.struct(-F.col("edits"), F.col("context"), F.col("right_n"), F.col("right_word"))).alias("right_word"))
-    mixed = counts.where(F.col("word").rlike(r"^(?=.*\p{L}{2})(?=.*[\d|€†$£@!]).+$") & ~F.col("word").rlike(r"^\d+\p{L}+$|^\p{L}+\d+$|^\p{L}{1,2}\d+\p{L}?$")).select("word")
-    foreign = counts.where(F.col("word").rlike(r"[|€†$£]") & F.col("word").rlike(r"\p{L}")).select("word")
+    mixed = counts.where(F.col("word").rlike(r"^(?=.*\p{L}{2})(?=.*[\d" + MARKS + INNER + r"]).+$") & ~F.col("word").rlike(r"^\d+\p{L}+$|^\p{L}+\d+$|^\p{L}{1,2}\d+\p{L}?$")).select("word")
+    foreign = counts.where(F.col("word").rlike(f"[{MARKS.translate({ord(c): None for c in '@!'})}{INNER}]") & F.col("word").rlike(r"\p{L}")).select("word")
     known = codes(counts)
     both = best.join(mixed.unionByName(foreign).distinct(), "word", "full_outer").join(known, "word", "left_anti")
     # a number with a letter for a digit, far rarer than the number it stands for
@@ -336,13 +341,13 @@ def hyphenated(line_rows: DataFrame, counts: DataFrame) -> DataFrame:
     Suspended hyphens (Lønns- og) and halves whose form with a hyphen is the more frequent one are none; a capital abbreviation before the sign (IT-) keeps it.
     """
     cutoff = line_rows.where("left is not null").where(~F.lower("right").isin("og", "eller", "and", "or", "samt", "til"))
-    cutoff = cutoff.where(~F.col("left").rlike(r"^\p{Lu}{2,}$") & F.col("right").rlike(r"^[\p{Ll}\d|€†]"))
+    cutoff = cutoff.where(~F.col("left").rlike(r"^\p{Lu}{2,}$") & F.col("right").rlike(r"^[\p{Ll}\d|€†¢]"))
     return cutoff
 
 
 def repaired(page_rows: DataFrame, fixes: DataFrame) -> DataFrame:
     """(origin, doc_id, nr, text): furniture dropped, halves joined, misread words replaced, lines reflowed into paragraphs; table rows stay lines."""
-    words = page_rows.select("origin", "doc_id", "nr", F.explode(F.array_distinct(F.split(F.lower("text"), r"[^\w|€†$£@!]+"))).alias("word"))
+    words = page_rows.select("origin", "doc_id", "nr", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(f"(?U){WORD}"), F.lit(0)))).alias("word"))
     used = words.join(sized_broadcast(fixes.where("right_word is not null")), "word").groupBy("origin", "doc_id", "nr").agg(F.map_from_entries(F.collect_set(F.struct("word", "right_word"))).alias("fix"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

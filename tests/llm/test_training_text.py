@@ -225,6 +225,17 @@ def test_noise_found_and_repaired(spark):
     assert "Råvarer\t485\t3S" in text[101].split("\n")
 
 
+def test_words_with_a_foreign_sign_are_misread(spark):
+    clean = "Tørkeanlegget ble løpet av hørere og årsregnskapet viser beløp for strømforbruk."
+    rows = [(i, "1", clean) for i in range(40)] + [(100 + k, "1", clean.replace(w, wrong)) for k, (w, wrong) in enumerate([("Tørkeanlegget", "T¢rkeanlegget"), ("hørere", "h¢rere"), ("beløp", "bel¢p"), ("strømforbruk", "str¢mforbruk"), ("årsregnskapet", "årsr€gnskapet"), ("løpet", "l©pet"), ("beløp", "be*øp")])]
+    noter = spark.createDataFrame([*rows, (200, "1", "Se * og § 3 a, R&D, 20°C, beløp* og # 2.")], "doc_id long, nr string, raw_text string")
+    pages = ocr_text.pages(noter, spark.createDataFrame([], "doc_id long, _ocr_text string")).cache()
+    lines = ocr_text.lines(pages).cache()
+    assert {r.doc_id for r in ocr_text.found_lines(lines).collect()} == set(range(100, 107))
+    text = {r.doc_id: r.text for r in ocr_text.repaired(pages, ocr_text.misread_words(ocr_text.word_counts(lines))).collect()}
+    assert all(text[100 + k] == clean for k in range(6))
+
+
 def test_context_decides_between_candidates(spark):
     rows = [(i, "stor hest løper fort") for i in range(30)] + [(100 + i, "liten best vinner sakte") for i in range(40)] + [(200 + i, "rød fest og glede") for i in range(20)] + [(300, "rød ƒest"), (301, "stor 6est løper")]
     lines = ocr_text.lines(spark.createDataFrame([("noter", i, "1", None, t) for i, t in rows], "origin string, doc_id long, nr string, name string, text string")).cache()
