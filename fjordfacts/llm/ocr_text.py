@@ -8,9 +8,11 @@
    is a single edit) walks the trie, so every candidate is retrieved. Tries hold one length of
    words and one salt each; a word is sent to the tries of all lengths it can reach, so nothing
    that grows with the data is broadcast.
-4. A word is misread if a candidate differs only in look-alikes and is far more frequent, or if
-   the word mixes letters with foreign signs. Candidates rank by edits, agreement with the word
-   before, and frequency.
+4. A word is misread if a candidate is far more frequent and every edit between them is a look-alike,
+   takes a letter foreign to the language, or is a confusion learnt from the corpus: one that parts
+   many rare words from frequent ones, but hardly any frequent words from each other and hardly ever
+   the other way round, as endings and names do. Or if the word mixes letters with foreign signs.
+   Candidates rank by edits, look-alikes first, agreement with the word before, and frequency.
 5. `repaired` drops furniture, joins the halves, replaces misread words and reflows the lines into
    paragraphs; table rows stay lines.
 """
@@ -30,10 +32,15 @@ from fjordfacts.session import cut, sized_broadcast, tasks
 ALIKE = (
     ("0", "oOøD"), ("1", "liIt"), ("|", "liI"), ("l", "iI"), ("I", "li"), ("!", "li"), ("2", "zZ"), ("3", "E"), ("4", "A"), ("5", "sS"),
     ("6", "bGø"), ("7", "T"), ("8", "BS"), ("9", "gq"), ("€", "eE"), ("†", "tT"), ("$", "sS"), ("£", "E"), ("@", "a"), ("¢", "øc"), ("¤", "oø"), ("‡", "tT"), ("¦", "liI"), ("¥", "YV"), ("©", "oø"), ("®", "oø"), ("°", "oø"),
+    ("à", "åa"), ("ä", "åaæ"), ("á", "åa"), ("â", "åa"), ("ã", "åa"), ("ö", "øo"), ("õ", "øo"),
 )
-PAIRS = (("rn", "m"), ("cl", "d"), ("vv", "w"), ("ii", "u"))
+PAIRS = (("rn", "m"), ("cl", "d"), ("vv", "w"), ("ii", "u"), ("ce", "æ"))
 #: Times a word must be more frequent than another of letters only to be its right form; least count of the vocabulary.
 RATIO, LEAST = 10, 5
+#: Rare words that make a confusion a learnt one, and how many of them there must be for each pair of words that speaks against it.
+LEARNT, AGAINST = 5, 10
+#: Letters of Norwegian words; all others are foreign.
+LETTERS = "a-zæøåéèêóòôü"
 #: Vocabulary words of one trie.
 TRIE_WORDS = 20_000
 HYPHENS = "-‐‑­¬"
@@ -63,6 +70,8 @@ WORD = rf"[^\W_]+(?:[{MARKS}][^\W_]+|(?<=[^\W\d_])[{INNER}](?=[^\W\d_])[^\W_]+|[
 _WORD = re.compile(WORD)
 _ODD_HALF = re.compile(rf"[\d{MARKS}]|rn|cl")
 _FOREIGN = re.compile(rf"[\d{MARKS}{INNER}]")
+#: A letter, in lower case, that the language doesn't have.
+_STRANGE = rf"[^\W\d_{LETTERS}]"
 _CELL_NUMBER = re.compile(r"[-−(]?\s?[0-9OoIl|SsBZzGgbqA][0-9OoIl|SsBZzGgbqA    .,]*\)?")
 _TRIPLE = re.compile(r"(?<![\w,.])[0-9OoIl|SsBZG]{1,3}(?:[    .][0-9OoIl|SsBZG]{3})+(?:,[0-9OoIl|SsBZG]+)?(?!\w)")
 _DECIMAL = re.compile(r"(?<![\w,.])[0-9OoIl|SsBZG]+,[0-9OoIl|SsBZG]+(?!\w)")
@@ -242,12 +251,41 @@ def retrieve(trie: Trie, word: str, edits: int) -> list[tuple[str, int, bool]]:
     return out
 
 
+def edit_path(seen: str, meant: str) -> list[tuple[str, str]]:
+    """The edits of a shortest way from one word to the other, look-alikes first: (seen, meant) of each, a pair taken for one letter being one edit."""
+    n, m = len(seen), len(meant)
+    best: list[list[tuple[float, tuple[int, int]]]] = [[(0.0, (0, 0))] * (m + 1) for _ in range(n + 1)]
+    for i in range(n + 1):
+        for j in range(m + 1):
+            ways = [(best[i - 1][j][0] + 1, (1, 0))] if i else []
+            if j:
+                ways.append((best[i][j - 1][0] + 1, (0, 1)))
+            if i and j:
+                a, b = seen[i - 1], meant[j - 1]
+                ways.append((best[i - 1][j - 1][0] + (0 if a == b else 0.99 if a in _ONE.get(b, ()) else 1), (1, 1)))
+                if i > 1 and seen[i - 2 : i] in _TWO.get(b, ()):
+                    ways.append((best[i - 2][j - 1][0] + 0.99, (2, 1)))
+            best[i][j] = min(ways, key=lambda w: (w[0], -sum(w[1]))) if ways else (0.0, (0, 0))
+    out, i, j = [], n, m
+    while i or j:
+        di, dj = best[i][j][1]
+        if seen[i - di : i] != meant[j - dj : j]:
+            out.append((seen[i - di : i], meant[j - dj : j]))
+        i, j = i - di, j - dj
+    return out[::-1]
+
+
+def _told(seen: str, meant: str) -> bool:
+    """Whether an edit is a look-alike or takes a foreign letter or sign."""
+    return seen in _ONE.get(meant, ()) or seen in _TWO.get(meant, ()) or bool(seen and re.fullmatch(rf"(?:{_STRANGE}|{_FOREIGN.pattern})+", seen))
+
+
 def _allowed(word: Column) -> Column:
     return F.when(F.length(word) >= 9, 2).otherwise(1)
 
 
 def corrections(counts: DataFrame, least: int = LEAST, ratio: int = RATIO) -> DataFrame:
-    """(word, right_word, edits, right_n, n): candidates of each word that isn't vocabulary or is far rarer than one that is.
+    """(word, right_word, edits, right_n, n, alike): candidates of each word that isn't vocabulary or is far rarer than one that is.
 
     counts: (word, n). Words of under three characters, of digits only and codes as frequent as vocabulary words are no queries.
     """
@@ -255,24 +293,49 @@ def corrections(counts: DataFrame, least: int = LEAST, ratio: int = RATIO) -> Da
     vocabulary = counts.where(plain & (F.col("n") >= least) & (F.length("word") >= 2)).select("word", "n", F.length("word").alias("len"))
     slices = vocabulary.groupBy("len").agg(F.ceil(F.count(F.lit(1)) / F.lit(TRIE_WORDS)).cast("int").alias("slices"))
     side_a = vocabulary.join(sized_broadcast(slices), "len").withColumn("slice", F.pmod(F.xxhash64("word"), F.col("slices")))
-    asked = counts.where((F.length("word") >= 2) & F.col("word").rlike(r"\p{L}") & (F.col("word").rlike(_FOREIGN.pattern) | (F.length("word") >= 4))).select("word", "n", F.length("word").alias("own"), _allowed(F.col("word")).alias("edits"))
+    asked = counts.where((F.length("word") >= 2) & F.col("word").rlike(r"\p{L}") & (F.col("word").rlike(f"(?U){_FOREIGN.pattern}|{_STRANGE}") | (F.length("word") >= 4))).select("word", "n", F.length("word").alias("own"), _allowed(F.col("word")).alias("edits"))
     reach = asked.withColumn("len", F.explode(F.sequence(F.col("own") - F.col("edits") - 1, F.col("own") + F.col("edits"))))
     side_b = reach.join(sized_broadcast(slices), "len").withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
 
+    columns, strange = ["word", "right_word", "edits", "right_n", "n", "alike", "enough", "unknown"], re.compile(_STRANGE)
+
     def look(vocab: pd.DataFrame, query: pd.DataFrame) -> pd.DataFrame:
         found = []
         if len(vocab) and len(query):
             trie, n_of = Trie(list(vocab["v_word"])), dict(zip(vocab["v_word"], vocab["v_n"], strict=True))
             for w, n, edits in zip(query["word"], query["n"], query["edits"], strict=True):
                 foreign = bool(_FOREIGN.search(w))
+                enough = n if foreign or strange.search(w) else ratio * n
                 for right, e, only_alike in retrieve(trie, w, int(edits)):
-                    if right != w and only_alike and n_of[right] >= (n if foreign else ratio * n):
-                        found.append((w, right, e, int(n_of[right]), int(n)))
-        return pd.DataFrame(found, columns=["word", "right_word", "edits", "right_n", "n"])
+                    if right == w:
+                        continue
+                    if n_of[right] >= enough and only_alike:
+                        found.append((w, right, e, int(n_of[right]), int(n), True, True, []))
+                    elif n_of[right] >= enough or (n >= least and n_of[right] * ratio > n):
+                        # also pairs of frequent words: they speak against a confusion
+                        path = edit_path(w, right)
+                        unknown = [f"{a}>{b}" for a, b in path if not _told(a, b)]
+                        if n_of[right] >= enough or len(path) == len(unknown) == 1:
+                            found.append((w, right, e, int(n_of[right]), int(n), False, n_of[right] >= enough, unknown))
+        return pd.DataFrame(found, columns=columns)
 
     # a cogroup is one trie and the queries that reach it; queries are words counted once, not occurrences
     slim_b = side_b.select("word", "n", "edits", "len", "slice")
-    return side_a.select(F.col("word").alias("v_word"), F.col("n").alias("v_n"), F.col("len").alias("v_len"), F.col("slice").alias("v_slice")).groupBy("v_len", "v_slice").cogroup(slim_b.groupBy("len", "slice")).applyInPandas(look, "word string, right_word string, edits int, right_n bigint, n bigint")
+    looked = side_a.select(F.col("word").alias("v_word"), F.col("n").alias("v_n"), F.col("len").alias("v_len"), F.col("slice").alias("v_slice")).groupBy("v_len", "v_slice").cogroup(slim_b.groupBy("len", "slice")).applyInPandas(look, "word string, right_word string, edits int, right_n bigint, n bigint, alike boolean, enough boolean, unknown array<string>")
+    looked = cut(looked)
+    known = looked.where("enough and size(unknown) = 0")
+    doubtful = looked.where("enough and size(unknown) > 0")
+    steps = doubtful.select("word", "right_word", F.explode(F.array_distinct("unknown")).alias("step"))
+    open_steps = steps.join(sized_broadcast(learnt(looked)), "step", "left_anti").select("word", "right_word").distinct()
+    return known.unionByName(doubtful.join(open_steps, ["word", "right_word"], "left_anti")).drop("enough", "unknown")
+
+
+def learnt(looked: DataFrame) -> DataFrame:
+    """(step): single edits, as "seen>meant", that are confusions of the scan by the words they part."""
+    single = looked.where("size(unknown) = 1 and edits = 1").select(F.col("unknown")[0].alias("step"), "word", "enough")
+    votes = single.groupBy("step").agg(F.count_distinct(F.when(F.col("enough"), F.col("word"))).alias("rare"), F.count_if(~F.col("enough")).alias("natural"))
+    back = votes.select(F.concat_ws(">", F.split_part("step", F.lit(">"), F.lit(2)), F.split_part("step", F.lit(">"), F.lit(1))).alias("step"), F.col("rare").alias("reverse"))
+    return votes.join(back, "step", "left").where((F.col("rare") >= LEARNT) & (F.col("rare") >= AGAINST * (F.col("natural") + F.coalesce("reverse", F.lit(0))))).select("step")
 
 
 def word_counts(line_rows: DataFrame) -> DataFrame:
@@ -323,7 +386,7 @@ def misread_words(counts: DataFrame, pairs: DataFrame | None = None) -> DataFram
     """
     found = corrections(counts)
     found = found.withColumn("context", F.lit(0.0)) if pairs is None else in_context(cut(found), pairs)
-    best = found.groupBy("word").agg(F.max_by("right_word", F.struct(-F.col("edits"), F.col("context"), F.col("right_n"), F.col("right_word"))).alias("right_word"))
+    best = found.groupBy("word").agg(F.max_by("right_word", F.struct(-F.col("edits"), F.col("alike"), F.col("context"), F.col("right_n"), F.col("right_word"))).alias("right_word"))
     mixed = counts.where(F.col("word").rlike(r"^(?=.*\p{L}{2})(?=.*[\d" + MARKS + INNER + r"]).+$") & ~F.col("word").rlike(r"^\d+\p{L}+$|^\p{L}+\d+$|^\p{L}{1,2}\d+\p{L}?$")).select("word")
     foreign = counts.where(F.col("word").rlike(f"[{MARKS.translate({ord(c): None for c in '@!'})}{INNER}]") & F.col("word").rlike(r"\p{L}")).select("word")
     known = codes(counts)

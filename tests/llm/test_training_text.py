@@ -236,6 +236,23 @@ def test_words_with_a_foreign_sign_are_misread(spark):
     assert all(text[100 + k] == clean for k in range(6))
 
 
+def test_misread_letters_are_found_beyond_the_tables(spark):
+    clean = "Vilkåret inngår i fraværet med særlig stor forskjell for avdelingen, henvisningen, hovedsaken, behandlingen, hensynet og hele huset på kunden."
+    wrong = [("Vilkåret", "Vilkàret"), ("inngår", "inngär"), ("fraværet", "fravceret"), ("særlig", "scerlig"), ("fraværet", "fraværęt"), ("på", "pà")]
+    # h is read as b again and again; n and r after kunde- are endings
+    learnt = [(w, w.replace("h", "b", 1)) for w in ("henvisningen", "hovedsaken", "behandlingen", "hensynet", "hele", "huset")]
+    wrong += learnt
+    rows = [(i, "1", clean) for i in range(60)] + [(100 + k, "1", clean.replace(a, b)) for k, (a, b) in enumerate(wrong)]
+    rows += [(300 + i, "1", f"kunde{e}") for e in ("r", "s", "ns", "") for i in range(3)] + [(400, "1", "Håvard Hansen og huser og kander")]
+    noter = spark.createDataFrame(rows, "doc_id long, nr string, raw_text string")
+    pages = ocr_text.pages(noter, spark.createDataFrame([], "doc_id long, _ocr_text string")).cache()
+    lines = ocr_text.lines(pages).cache()
+    changed = {100 + k for k in range(len(wrong))}
+    assert {r.doc_id for r in ocr_text.found_lines(lines).collect()} == changed
+    text = {r.doc_id: r.text for r in ocr_text.repaired(pages, ocr_text.misread_words(ocr_text.word_counts(lines))).collect()}
+    assert all(text[d] == clean for d in changed)
+
+
 def test_context_decides_between_candidates(spark):
     rows = [(i, "stor hest løper fort") for i in range(30)] + [(100 + i, "liten best vinner sakte") for i in range(40)] + [(200 + i, "rød fest og glede") for i in range(20)] + [(300, "rød ƒest"), (301, "stor 6est løper")]
     lines = ocr_text.lines(spark.createDataFrame([("noter", i, "1", None, t) for i, t in rows], "origin string, doc_id long, nr string, name string, text string")).cache()
