@@ -35,12 +35,12 @@ BLOCK = 4096
 PASSAGE, STEP = 28, 7
 RANK, OVERSAMPLING, POWER_ROUNDS = 96, 16, 2
 #: Item word pairs within NEAR words of each other that a stretch must hold.
-NEAR, PAIRS, MARGIN, BAND = 40, 15, 36, 8
+NEAR, PAIRS, MARGIN, BAND = 40, 15, 36, 24
 COSINE = 0.4
-#: Words around the shared pairs that the alignment looks at, on either side.
-EDGE = 14
-#: Running words of the item that make a leak; gap and mismatch costs of the alignment; least share of matching words.
+#: Running words of the item that make a leak; gap and mismatch costs of the alignment, least share of matching words.
 LEAST, GAP, SHARE = 25, 0.6, 0.7
+#: What foreign lines between two words of the item cost at most in a second alignment, and its share: phrases that items have in common can be strung together so, but not this closely.
+LEAP, CLOSE = 1.8, 0.85
 
 _WORD = re.compile(r"\w+")
 _INVISIBLE = dict.fromkeys([*range(0x200B, 0x2010), 0x2060, 0xFEFF, 0x00AD, 0x180E, *range(0x202A, 0x202F)])
@@ -123,10 +123,10 @@ class Items:
         numeric = np.array([w.isdigit() for w in vocabulary], bool)
         return Items([i for i, _ in rows], sequences, vocabulary, numeric, pairs, np.r_[first, len(both)], both[:, 1], both[:, 2], max(map(len, sequences), default=0))
 
-    def with_pairs(self, w: np.ndarray, least: int, near: int) -> list[tuple[int, int, int, int, int]]:
-        """(item, first, last, item_first, item_last): items of which the stretch begins word pairs at `least` places in one band of diagonals and within `near` words, and where those lie in the stretch and in the item.
+    def with_pairs(self, w: np.ndarray, least: int, near: int) -> list[tuple[int, int, int]]:
+        """(item, first, last): items of which the stretch begins word pairs at `least` places in one band of diagonals and within `near` words, and where those lie in the stretch.
 
-        Bands are 2 * BAND diagonals wide and overlap by half, so a line of other words between two halves of a passage doesn't part them.
+        Bands are 2 * BAND diagonals wide and overlap by half, so BAND other words between two parts of a passage don't part them.
         """
         v, found = len(self.vocabulary), []
         for d in (1, 2):
@@ -149,12 +149,11 @@ class Items:
         if len(key) <= k:
             return []
         dense = np.flatnonzero((group[k:] == group[: len(group) - k]) & (at[k:] - at[: len(at) - k] <= near))
-        out: dict[int, tuple[int, int, int, int]] = {}
+        out: dict[int, tuple[int, int]] = {}
         for j in dense:
             i, lo, hi = int(group[j]) // wide, int(at[j]), int(at[j + k])
-            middle = self.longest - int(group[j]) % wide * BAND
-            a, b, c, d = out.get(i, (lo, hi, lo + middle - BAND, hi + middle + BAND))
-            out[i] = (min(lo, a), max(hi, b), min(lo + middle - BAND, c), max(hi + middle + BAND, d))
+            a, b = out.get(i, (lo, hi))
+            out[i] = (min(lo, a), max(hi, b))
         return [(i, *x) for i, x in out.items()]
 
     def windows(self) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -304,11 +303,18 @@ def latent_space(stretches: DataFrame, items: Items, idf: np.ndarray, rank: int
     return basis[:, :rank]
 
 
-def align(docs: list[np.ndarray], items: list[np.ndarray], numeric: np.ndarray) -> np.ndarray:
+def _most_known(item: np.ndarray, doc: np.ndarray, least: int) -> int:
+    """The most words of `least` running ones of the item that the document has at all."""
+    total = np.r_[0, np.cumsum(np.isin(item, doc))]
+    return int((total[least:] - total[:-least]).max(initial=0))
+
+
+def align(docs: list[np.ndarray], items: list[np.ndarray], numeric: np.ndarray, leap_cost: float | None = None) -> np.ndarray:
     """Of each pair the best local alignment: running words of the item it covers, matching words, item numbers covered, numbers matching.
 
-    A common subsequence in which every word left out on either side costs GAP. The pairs of a
-    batch advance together, one word of all documents at a time.
+    A common subsequence in which every word left out on either side costs GAP; with
+    `leap_cost`, words of the document in one place, such as scan lines, don't cost more than that together.
+    The pairs of a batch advance together, one word of all documents at a time.
     """
     size, n, m = len(docs), max(map(len, docs)), max(map(len, items))
     d, t = np.full((size, n), -1), np.full((size, m), -2)
@@ -322,16 +328,24 @@ def align(docs: list[np.ndarray], items: list[np.ndarray], numeric: np.ndarray)
     # start of the alignment, matches and matching numbers travel along packed in one integer
     unit_match, unit_number, base = np.int32(1 << 20), np.int32(1 << 10), np.broadcast_to(column, (size, m + 1)).astype(np.int32)
     state = base.copy()
+    far, far_state = np.full((size, m + 1), np.float32(-1)), base.copy()
     best, best_state, best_end = np.zeros(size), np.zeros(size, np.int64), np.zeros(size, np.int64)
     for i in range(n):
         same = d[:, i : i + 1] == t
         diagonal = score[:, :-1] + np.where(same, np.float32(1), np.float32(-GAP))
         down = score[:, 1:] - np.float32(GAP)
+        before = state[:, 1:]
+        if leap_cost is not None:
+            leap = score - np.float32(leap_cost)
+            nearer = leap >= far
+            far, far_state = np.where(nearer, leap, far), np.where(nearer, state, far_state)
+            leaps = far[:, 1:] > down
+            down, before = np.where(leaps, far[:, 1:], down), np.where(leaps, far_state[:, 1:], before)
         pick = diagonal >= down
         row = np.zeros_like(score)
         row[:, 1:] = np.maximum(np.where(pick, diagonal, down), 0)
         moved = base.copy()
-        came = np.where(pick, state[:, :-1] + same * (unit_match + is_number * unit_number), state[:, 1:])
+        came = np.where(pick, state[:, :-1] + same * (unit_match + is_number * unit_number), before)
         moved[:, 1:] = np.where(row[:, 1:] > 0, came, base[:, 1:])
         lifted = row + steps
         top = np.maximum.accumulate(lifted, 1)
@@ -396,19 +410,25 @@ def _leaked_block(documents: DataFrame, items: Items, id_col: str, text_col: str
             for k, w in zip(pdf["doc_id"], pdf["w"], strict=True):
                 w = np.asarray(w, np.int64)
                 close = _candidates(_stretch_passages(w), right, weights, item_vectors, owners)
-                for i, lo, hi, first, last in block.with_pairs(w, PAIRS, NEAR):
+                for i, lo, hi in block.with_pairs(w, PAIRS, NEAR):
                     if i in close:
                         doc.append(k)
                         item.append(i)
-                        own.append(w[max(0, lo - EDGE) : hi + EDGE])
-                        theirs.append(block.sequences[i][max(0, first - EDGE) : last + EDGE])
-            found = []
-            order = np.argsort([len(w) for w in own], kind="stable")
-            for at in range(0, len(order), 256):
-                some = order[at : at + 256]
-                for r, (covered, matched, numbers, same) in zip(some, align([own[r] for r in some], [theirs[r] for r in some], block.numeric), strict=True):
-                    if covered >= least and matched >= SHARE * covered and 2 * same >= numbers:
-                        found.append((doc[r], block.ids[item[r]], int(covered), int(matched)))
+                        own.append(w[max(0, lo - MARGIN) : hi + MARGIN])
+                        theirs.append(block.sequences[i])
+            found, known = [], np.array([_most_known(t, w, least) for t, w in zip(theirs, own, strict=True)], int)
+            left = np.argsort([len(w) for w in own], kind="stable")
+            # of an alignment's first and last `least` words, one has at most 1.8 times the unmatched words that its share leaves so few
+            for share, leap in ((SHARE, None), (CLOSE, LEAP)):
+                left = left[known[left] >= least * (1 - 1.8 * (1 - share))]
+                done = set()
+                for at in range(0, len(left), 256):
+                    some = left[at : at + 256]
+                    for r, (covered, matched, numbers, same) in zip(some, align([own[r] for r in some], [theirs[r] for r in some], block.numeric, leap), strict=True):
+                        if covered >= least and matched >= share * covered and 2 * same >= numbers:
+                            found.append((doc[r], block.ids[item[r]], int(covered), int(matched)))
+                            done.add(r)
+                left = np.array([r for r in left if r not in done], int)
             yield pd.DataFrame(found, columns=["doc_id", "item_id", "words", "matched"])
 
     spread = stretches.select("doc_id", "w").repartition(F.xxhash64("doc_id", F.size("w")))

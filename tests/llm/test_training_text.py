@@ -176,6 +176,29 @@ def test_leaks(spark):
     assert leaks.leaked(d.limit(0), it).count() == 0 and leaks.leaked(d, it.limit(0)).count() == 0
 
 
+def test_leaks_with_foreign_lines_between(spark):
+    rng = random.Random(10)
+    vocabulary = [f"{a}{b}" for a in ("brun", "stor", "lys", "tung", "kald", "varm", "rund", "flat") for b in ("båt", "vei", "fjell", "elv", "skog", "hus", "mark", "strand")]
+    items = [(i, [rng.choice(vocabulary) if k % 6 else str(rng.randrange(1000)) for k in range(60)]) for i in range(6)]
+    filler = lambda n: [rng.choice(WORDS) for _ in range(n)]
+    docs, expected = [], set()
+    for n in (25, 30):
+        for inserted in (10, 14, 20):
+            for at in range(2, n - 1):
+                i, a = rng.randrange(6), rng.randrange(60 - n)
+                own = items[i][1][a : a + n]
+                docs.append((len(docs), " ".join(filler(60) + own[:at] + filler(inserted) + own[at:] + filler(60))))
+                expected.add((len(docs) - 1, i))
+    # shorter ones with such lines are none
+    for at in (4, 9, 14):
+        own = items[0][1][10:28]
+        docs.append((len(docs), " ".join(filler(60) + own[:at] + filler(14) + own[at:] + filler(60))))
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    it = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in leaks.leaked(d, it).collect()}
+    assert got == expected
+
+
 # ---- scanned pages ----
 
 
