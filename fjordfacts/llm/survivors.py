@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from fjordfacts.session import cut, sized_broadcast
 
-ROUNDS, STILL = 20, 1e-4
+#: Most rounds before non-convergence is an error, and the movement that counts as none.
+ROUNDS, STILL = 1000, 1e-4
 
 
 def plain_orgnr(column: str) -> F.Column:
@@ -82,6 +83,8 @@ def discover(all_claims: DataFrame, rounds: int = ROUNDS, still: float = STILL)
         reliability = after
         if done:
             break
+    else:
+        raise RuntimeError(f"reliabilities still move by more than {still} after {rounds} rounds")
     best = F.max(F.struct(F.round("support", 9).alias("support"), "n", "supplier", (-F.col("value")).alias("less")))
     truths = weighed(reliability).groupBy(*GROUP).agg(best.alias("b"), F.sum("n").alias("n_claims"))
     return truths.select(*GROUP, (-F.col("b.less")).alias("value"), F.col("b.support").alias("support"), "n_claims", F.col("b.supplier.doc_id").alias("doc_id")), reliability

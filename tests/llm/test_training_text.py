@@ -133,6 +133,13 @@ def test_truth_discovery_finds_the_reliable_source(spark):
     assert sum(r.value == r.year for r in truths.collect()) >= 54
 
 
+def test_truth_discovery_says_if_it_does_not_converge(spark):
+    rows = [("o", g, "1", "k", g * 10, s, 1, float(g if s == "a" or g % 3 else -g)) for g in range(1, 30) for s in ("a", "b", "c")]
+    df = spark.createDataFrame(rows, "orgnr string, year int, nr string, amount_key string, doc_id long, source string, trust_rank int, value double").selectExpr("*", "cast(null as timestamp_ntz) as extracted_at")
+    with pytest.raises(RuntimeError):
+        survivors.discover(df, rounds=1)
+
+
 # ---- leaks ----
 
 
