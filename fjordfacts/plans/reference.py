@@ -411,7 +411,7 @@ def j10_corrections(spark: SparkSession, d: str) -> DataFrame:
     hits = table(spark, d, "field_hits").groupBy("doc_id", "canonical").agg(F.max("value").alias("value"))
     votes = _validated(spark, d).where("missing is null and not tolerance_ok").select("doc_id", "field", F.col("extracted").cast("double").alias("v1_value"), F.col("api").cast("double").alias("api_value"), F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("strategy_ord"))
     votes = votes.withColumn("value", F.when((F.col("doc_id") + F.col("strategy_ord")) % 3 > 0, F.col("api_value")).otherwise(F.col("v1_value")))
-    return reconcile.apply_corrections(hits, cut(reconcile.vote(votes)))
+    return reconcile.apply_corrections(hits, cut(reconcile.vote(votes)), limit=None)
 
 
 # ---- runs ----
@@ -473,7 +473,7 @@ def k10_audit_flags(spark: SparkSession, d: str) -> DataFrame:
 def k12_notes_flow(spark: SparkSession, d: str) -> DataFrame:
     """Pages to notes to scaled facts, end to end."""
     found = notes.segment(_note_pages(spark, d))
-    found = found.repartition(tasks(table(spark, d, "noter")), "doc_id", "nr").withColumn("scale", amounts.detect_scale(F.substring("raw_text", 1, 300)))
+    found = found.repartition(tasks(table(spark, d, "noter")), "doc_id", "nr").withColumn("scale", amounts.detect_scale(F.col("raw_text")))
     values = kv.key_values(kv.facts(found, keep=("doc_id", "nr", "scale")), keep=("doc_id", "nr", "scale"))
     return values.select("doc_id", "nr", "amount_key", (F.col("value") * F.col("scale")).alias("amount"))
 

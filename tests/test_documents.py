@@ -114,3 +114,17 @@ def test_streaming_runner_resumes(spark, tmp_path):
     spark.range(3, 8).write.mode("append").parquet(src)
     runner.run_available(runner.stream_table(spark, src, "id long"), lambda b: b, out, check, ["id"]).awaitTermination()
     assert sorted(r.id for r in spark.read.parquet(out).collect()) == list(range(8))
+
+
+def test_flows_take_whole_notes_and_all_disagreements(spark, tmp_path):
+    from fjordfacts.plans import reference
+
+    text = "Noten viser lønn. " * 25 + "\nBeløp i TNOK\n\t2020\t2019\nLønn\t1 200\t300"
+    spark.createDataFrame([(1, "1", "Lønn", text)], "doc_id long, nr string, tittel string, raw_text string").write.parquet(f"{tmp_path}/noter.parquet")
+    found = {r.amount for r in reference.k12_notes_flow(spark, str(tmp_path)).collect()}
+    assert {1200000.0, 300000.0} <= found
+    names = [r.canonical for r in field_spec(spark).where("tolerance = 'pct1'").limit(9).collect()]
+    assert len(names) == 9
+    spark.createDataFrame([(1, n, 1e6) for n in names], "doc_id long, canonical string, value double").write.parquet(f"{tmp_path}/field_hits.parquet")
+    spark.createDataFrame([(1, n, "5000000") for n in names], "doc_id long, field string, api string").write.parquet(f"{tmp_path}/checks.parquet")
+    assert [r.reconciled_value for r in reference.j10_corrections(spark, str(tmp_path)).collect()] == [5e6] * 9
