@@ -51,7 +51,7 @@ _DIGITS = "0-9OoIl|SsBZzGgbqAQD"
 _NUMBER = rf"[-\u2212(]?\s?(?:[{_DIGITS}]{{1,3}}(?:[{_BLANKS}.][{_DIGITS}]{{3}}(?!\w))+|[{_DIGITS}]+)(?:,[{_DIGITS}]+)?\)?"
 _YEAR_CELL = re.compile(r"^\s*((?:19|20)\d\d)\b(.*)$")
 _KEY_YEAR = re.compile(r"^(.*?)\s+((?:19|20)\d\d)$")
-_SWITCH, _FAR, _EXACT = 1.2, 6.0, 0.004
+_SWITCH, _FAR, _EXACT, _STATED = 1.2, 6.0, 0.004, 0.4
 #: Exponents of the units of one kind of quantity, with what tells the kind in a unit's spelling.
 KINDS = (
     (frozenset({2, 0, -1}), re.compile(r"andel|%|prosent|promille|‰", re.I)),
@@ -202,13 +202,15 @@ def _in_prose(name: str, flat: str) -> tuple[float, int] | None:
     return None
 
 
-def viterbi(jumps: list[float | None], units: list[int]) -> list[int]:
+def viterbi(jumps: list[float | None], units: list[int], scale: float | None = None) -> list[int]:
     """Most likely factor (power of ten) that the reader applied to each entry.
 
     A jump is log10(recorded) - log10(printed), None where it can't be told. Emission: distance of
-    the jump to the state, none for missing ones; transition: staying is free.
+    the jump to the state; for missing ones only the scale recorded with the note speaks, less than a
+    neighbour does. Transition: staying is free.
     """
     n, k = len(jumps), len(STATES)
+    stated = np.where(_STATE != round(math.log10(scale)), _STATED, 0.0) if scale and 0 < scale < math.inf else 0.0
     cost, back = _PRIOR.copy(), np.zeros((n, k), int)
     for i, j in enumerate(jumps):
         if i:
@@ -217,7 +219,9 @@ def viterbi(jumps: list[float | None], units: list[int]) -> list[int]:
             cost = total.min(0)
         far = _far(int(units[i]), getattr(units[i], "kind", Unit.kind))
         cost = cost + far
-        if j is not None:
+        if j is None:
+            cost = cost + stated
+        else:
             # a jump that is just the way between two units of the kind outweighs a switch to and fro
             way = round(j)
             sure = abs(j - way) < _EXACT and way in STATES and way not in _WHOLE_NOTE and not far[STATES.index(way)]
@@ -275,7 +279,7 @@ def entry_exponents(tittel: str | None, raw_text: str | None, amounts: list[tupl
         keys.append(key)
         units.append(unit if unit is not None else note_unit if note_unit is not None else 0)
         jumps.append(math.log10(abs(value)) - math.log10(abs(printed)) if printed and value else None)
-    return [(k, u - s) for k, u, s in zip(keys, units, viterbi(jumps, units), strict=True)] if keys else []
+    return [(k, u - s) for k, u, s in zip(keys, units, viterbi(jumps, units, scale), strict=True)] if keys else []
 
 
 def missing_exponents(noter: DataFrame) -> DataFrame:
@@ -289,12 +293,13 @@ def missing_exponents(noter: DataFrame) -> DataFrame:
         for pdf in batches:
             out = [
                 (doc, nr, key, e)
-                for doc, nr, tittel, text, keys, values in zip(*(pdf[c] for c in ("doc_id", "nr", "tittel", "raw_text", "ks", "vs")), strict=True)
-                for key, e in entry_exponents(tittel, text, list(zip(keys, values, strict=True)))
+                for doc, nr, tittel, text, scale, keys, values in zip(*(pdf[c] for c in ("doc_id", "nr", "tittel", "raw_text", "scale", "ks", "vs")), strict=True)
+                for key, e in entry_exponents(tittel, text, list(zip(keys, values, strict=True)), scale)
             ]
             yield pd.DataFrame(out, columns=["doc_id", "nr", "amount_key", "exp10"])
 
-    rows = noter.where("doc_id is not null and size(raw_amounts) > 0").select("doc_id", "nr", "tittel", "raw_text", F.map_keys("raw_amounts").alias("ks"), F.map_values("raw_amounts").alias("vs"))
+    scale = F.col("scale_inferred") if "scale_inferred" in noter.columns else F.lit(None).cast("double")
+    rows = noter.where("doc_id is not null and size(raw_amounts) > 0").select("doc_id", "nr", "tittel", "raw_text", scale.alias("scale"), F.map_keys("raw_amounts").alias("ks"), F.map_values("raw_amounts").alias("vs"))
     return rows.mapInPandas(run, "doc_id bigint, nr string, amount_key string, exp10 int").distinct()
 
 

@@ -137,6 +137,14 @@ def test_units_take_a_way_within_a_kind_of_quantity():
     assert dict(units.entry_exponents("Beløp (kroner)", lines, keys(25.0, 300.0, 40.0))) == {"A 2020": 0, "B 2020": 0, "C 2020": 0}
 
 
+def test_units_take_the_recorded_scale_where_nothing_else_tells():
+    lost = [("Borte 2020", 5000.0)]
+    assert dict(units.entry_exponents("Tall (TNOK)", "uleselig", lost, 1000.0)) == {"Borte 2020": 0}
+    assert dict(units.entry_exponents("Tall (TNOK)", "uleselig", lost, 1.0)) == dict(units.entry_exponents("Tall (TNOK)", "uleselig", lost)) == {"Borte 2020": 3}
+    text = "\t2020\nA\t10\n"
+    assert dict(units.entry_exponents("Tall (TNOK)", text, [("A 2020", 10.0), *lost], 1000.0)) == {"A 2020": 3, "Borte 2020": 3}
+
+
 def test_units_query(spark):
     rows = [(1, "1", None, None, {"a": 1.0}), (1, "1", None, None, {"a": 1.0}), (2, "1", "t", "", None), (3, "2", "x", NOTE, {"Husleie 2020": 70.0, "Z": None})]
     df = spark.createDataFrame(rows, "doc_id long, nr string, tittel string, raw_text string, raw_amounts map<string,double>").selectExpr("*", "'e' as exp10", "1 as ks")
