@@ -23,31 +23,49 @@ LIMIT, OVERLAP = 2000, 100
 #: A more natural kind of boundary wins over a farther one if the piece is filled to this share.
 FILLED = 0.5
 KINDS = ("paragraph", "line", "sentence", "word", "token")
-_STEP = tokens.LONGEST // 4
 
 
-def _pretokens(text: str) -> list[str]:
-    """Pre-tokens; very long ones in short stretches."""
-    found = tokens.split(text)
-    if len(text) > tokens.LONGEST and max(map(len, found)) > tokens.LONGEST:
-        return [p[i : i + _STEP] for p in found for i in range(0, len(p), len(p) if len(p) <= tokens.LONGEST else _STEP)]
-    return found
-
+def _pretokens(text: str, count: tokens.Counter, most: int) -> list[tuple[str, int]]:
+    """Pre-tokens with their exact tokens, 0 for those short enough to be described together. One of more than `most` tokens comes in stretches.
 
-def _edges(texts: list[str], count: tokens.Counter) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    Stretches end where both a token and a character end. A run of neighbouring tokens of an encoding
+    is the encoding of its text, so the stretches' tokens add up to those of the whole.
+    """
+    found = tokens.split(text)
+    if len(text) <= tokens.LONGEST or max(map(len, found)) <= tokens.LONGEST:
+        return [(p, 0) for p in found]
+    out = []
+    for p in found:
+        if len(p) <= tokens.LONGEST:
+            out.append((p, 0))
+            continue
+        lengths = count.token_bytes(p)
+        out += [(p, len(lengths))] if len(lengths) <= most else _stretches(p, lengths)
+    return out
+
+
+def _stretches(text: str, token_bytes: np.ndarray) -> list[tuple[str, int]]:
+    """(stretch, tokens) between all places of the text where a character and a token end together."""
+    raw = text.encode()
+    ends = np.cumsum(token_bytes)
+    leads = np.frombuffer(raw, np.uint8) & 0xC0 != 0x80
+    whole = np.r_[leads[ends[:-1]], True]
+    cut = np.r_[0, ends[whole]]
+    n = np.diff(np.r_[0, np.flatnonzero(whole) + 1])
+    return [(raw[x:y].decode(), int(k)) for x, y, k in zip(cut[:-1], cut[1:], n, strict=True)]
+
+
+def _edges(texts: list[str], count: tokens.Counter, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Text, token offset, character offset and kind of every edge: the one before each pre-token, and each text's end."""
-    split = [_pretokens(t) for t in texts]
+    split = [_pretokens(t, count, most) for t in texts]
     sizes = np.array([len(s) for s in split])
     text_of = np.repeat(np.arange(len(texts)), sizes + 1)
     is_end = np.zeros(len(text_of), bool)
     is_end[np.cumsum(sizes + 1) - 1] = True
-    code = np.zeros(len(text_of), np.int64)
     flat = list(chain.from_iterable(split))
-    code[~is_end] = count.describe(flat)
-    n_tokens, n_chars, marks = code & (1 << tokens.CHARS_AT) - 1, code >> tokens.CHARS_AT & (1 << tokens.MARKS_AT - tokens.CHARS_AT) - 1, code >> tokens.MARKS_AT
-    if max(map(len, flat), default=0) >= _STEP:
-        # a stretch of a cut pre-token may merge with its neighbours otherwise than alone: its bytes bound its tokens
-        n_tokens[np.flatnonzero(~is_end)[[len(p) >= _STEP for p in flat]]] = [len(p.encode()) for p in flat if len(p) >= _STEP]
+    own = np.flatnonzero(~is_end)
+    n_tokens, n_chars, marks = np.zeros((3, len(text_of)), np.int64)
+    n_tokens[own], n_chars[own], marks[own] = count.describe([p for p, n in flat if not n], [(p, n) for p, n in flat if n], np.array([n > 0 for _, n in flat], bool))
     first = np.r_[0, np.flatnonzero(is_end)[:-1] + 1]
 
     def offsets(sizes_: np.ndarray) -> np.ndarray:
@@ -57,11 +75,11 @@ def _edges(texts: list[str], count: tokens.Counter) -> tuple[np.ndarray, np.ndar
     space, lines = (marks & tokens.SPACE) > 0, marks // tokens.LINES
     before = np.r_[0, marks[:-1]]
     gap = space & ((before & tokens.SPACE) == 0)
-    stop = np.minimum.accumulate(np.where(~space, np.arange(len(code)), len(code))[::-1])[::-1]
+    stop = np.minimum.accumulate(np.where(~space, np.arange(len(text_of)), len(text_of))[::-1])[::-1]
     seen = np.r_[0, np.cumsum(lines)]
-    in_gap = seen[stop] - seen[np.arange(len(code))]
+    in_gap = seen[stop] - seen[np.arange(len(text_of))]
     plain = np.where((before & tokens.ENDS) > 0, 2, 3)
-    kind = np.full(len(code), 4)
+    kind = np.full(len(text_of), 4)
     kind[gap] = np.where(in_gap > 1, 0, np.where(in_gap == 1, 1, plain))[gap]
     led = ((marks & tokens.LED) > 0) & ((before & tokens.SPACE) == 0)
     kind[led] = plain[led]
@@ -125,7 +143,7 @@ def split_batch(ids: np.ndarray, texts: list[str], limit: int, overlap: int, pat
     columns = ["_id", "piece", "start_token", "n_tokens", "start_char", "end_char", "boundary", "whole"]
     if not texts:
         return pd.DataFrame(columns=columns)
-    text_of, at, chars, kinds = _edges(texts, count)
+    text_of, at, chars, kinds = _edges(texts, count, max(1, (limit - overlap) // 4))
     total = at[np.r_[np.flatnonzero(text_of[1:] != text_of[:-1]), len(at) - 1]]
     ends, starts = cuts(text_of, at, kinds, limit, overlap)
     owner = text_of[ends]
@@ -140,15 +158,14 @@ def split_batch(ids: np.ndarray, texts: list[str], limit: int, overlap: int, pat
 def pieces(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: int = LIMIT, overlap: int = OVERLAP, with_text: bool = True, only_cut: bool = False, path: str | None = None) -> DataFrame:
     """id, piece (from 0), start_token, n_tokens, start_char, end_char, boundary and the piece's text.
 
-    A text of at most `limit` bytes has at most as many tokens and is its own piece unread by the
-    tokenizer (n_tokens null then); texts within the limit give one piece. Null texts give none, an
-    empty text gives one empty piece. With `only_cut`, texts within the limit are left out. A stretch of
-    more than 256 signs without any edge is cut where the limit demands.
+    Texts within the limit give one piece. Null texts give none, an empty text gives one empty piece.
+    With `only_cut`, texts within the limit are left out, and those of at most `limit` bytes, which
+    can't have more tokens, stay unread. A pre-token of more than a quarter of the room for new tokens
+    may be cut at the edges of its own tokens.
     """
     kind = df.schema[id_col].dataType.simpleString()
     schema = f"_id {kind}, piece int, start_token bigint, n_tokens bigint, start_char bigint, end_char bigint, boundary string, text string"
     src = df.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).where("_text is not null")
-    long = F.octet_length("_text") > limit
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -163,9 +180,7 @@ def pieces(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit:
                 out["_id"] = part["_id"].to_numpy()[row]
                 yield out.drop(columns="whole")
 
-    cut = src.where(long).mapInPandas(run, schema)
-    if not only_cut:
-        short = src.where(~long).select("_id", F.lit(0).alias("piece"), F.lit(0).cast("bigint").alias("start_token"), F.lit(None).cast("bigint").alias("n_tokens"), F.lit(0).cast("bigint").alias("start_char"), F.length("_text").cast("bigint").alias("end_char"), F.lit("paragraph").alias("boundary"), (F.col("_text") if with_text else F.lit(None).cast("string")).alias("text"))
-        cut = cut.unionByName(short)
-    out = cut.withColumnRenamed("_id", id_col)
+    if only_cut:
+        src = src.where(F.octet_length("_text") > limit)
+    out = src.mapInPandas(run, schema).withColumnRenamed("_id", id_col)
     return out if with_text else out.drop("text")

@@ -3,7 +3,7 @@
 A text's merges never cross the edges of its pre-tokens (a word with its blank, a number, a run
 of signs), and a pre-token's tokens depend on nothing outside it. So a batch is cut into
 pre-tokens once and each distinct one is encoded once where positions matter; the sum is the
-length of the encoding of the whole text, which `count` gives directly. The vocabulary file is found by a parameter and never copied.
+length of the encoding of the whole text, which `count` gives directly: both are exact. The vocabulary file is found by a parameter and never copied.
 """
 
 from __future__ import annotations
@@ -21,9 +21,9 @@ from fjordfacts.session import tokenizer_dir
 VOCABULARY = "byte_bpe_50k.tiktoken"
 #: Distinct pre-tokens remembered by a worker; beyond it the memory starts afresh.
 REMEMBERED = 400_000
-#: A longer pre-token is cut into stretches of so many bytes, each counted as that many tokens (an upper bound).
+#: A longer pre-token isn't remembered.
 LONGEST = 256
-#: Layout of `Counter.describe`: tokens below, characters, then marks: only blanks; begins with one blank; ends a sentence; line ends (0 to 3).
+#: Layout of what is remembered of a pre-token: tokens below, characters, then marks: only blanks; begins with one blank; ends a sentence; line ends (0 to 3).
 CHARS_AT, MARKS_AT = 20, 40
 SPACE, LED, ENDS, LINES = 1, 2, 4, 8
 SENTENCE_END = re.compile(r"[.!?][\"\u00bb\u201d')\]]*$")
@@ -68,23 +68,36 @@ def encoder(path: str):  # noqa: ANN201
     return tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
+def marks_of(piece: str) -> int:
+    space = piece.isspace()
+    return space * SPACE | (piece[0] == " " and not space) * LED | (SENTENCE_END.search(piece) is not None) * ENDS | min(piece.count("\n"), 3) * LINES
+
+
 class Counter:
     """Counts tokens of texts; one for each worker process (see `counter`)."""
 
     def __init__(self, path: str) -> None:
-        self.encode = encoder(path).encode_ordinary
+        found = encoder(path)
+        self.encode, self.bytes_of = found.encode_ordinary, found.decode_tokens_bytes
         self.known: dict[str, int] = {}
 
-    def describe(self, pieces: list[str]) -> np.ndarray:
-        """One integer for each pre-token: tokens, and above them characters and marks (see the constants)."""
+    def describe(self, short: list[str], long: list[tuple[str, int]], is_long: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Tokens, characters and marks (see the constants) of pre-tokens in the order of `is_long`: short ones, and long ones whose tokens are known."""
         known = self.known
         if len(known) > REMEMBERED:
             known.clear()
-        for p in set(pieces).difference(known):
-            space = p.isspace()
-            marks = space * SPACE | (p[0] == " " and not space) * LED | (SENTENCE_END.search(p) is not None) * ENDS
-            known[p] = len(self.encode(p)) | len(p) << CHARS_AT | (marks | min(p.count("\n"), 3) * LINES) << MARKS_AT
-        return np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces))
+        for p in set(short).difference(known):
+            known[p] = len(self.encode(p)) | len(p) << CHARS_AT | marks_of(p) << MARKS_AT
+        out = np.zeros((3, len(is_long)), np.int64)
+        code = np.fromiter(map(known.__getitem__, short), np.int64, len(short))
+        out[:, ~is_long] = code & (1 << CHARS_AT) - 1, code >> CHARS_AT & (1 << MARKS_AT - CHARS_AT) - 1, code >> MARKS_AT
+        if long:
+            out[:, is_long] = np.array([(n, len(p), marks_of(p)) for p, n in long]).T
+        return out[0], out[1], out[2]
+
+    def token_bytes(self, piece: str) -> np.ndarray:
+        """Bytes of each token of a pre-token."""
+        return np.fromiter(map(len, self.bytes_of(self.encode(piece))), np.int64)
 
     def count(self, texts: list[str]) -> np.ndarray:
         """Tokens of each text."""
