@@ -34,10 +34,12 @@ def ship(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by spark.checkpoint.dir; a temporary one only where the session names none (tests)."""
+    """The shared folder named by spark.checkpoint.dir. Where the session names none, a temporary one serves a local master (tests); a cluster must name one."""
     sc = spark.sparkContext
     found = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         found = tempfile.mkdtemp(prefix="fjordfacts-checkpoint-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(found)
