@@ -66,6 +66,12 @@ def tasks(df: DataFrame, mb: int = 8) -> int:
     return max(cores(df.sparkSession), min(200_000, -(-size // (mb << 20))))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """At least one partition for each core: rows are shuffled only where the files give fewer."""
+    n = cores(df.sparkSession)
+    return df if df.rdd.getNumPartitions() >= n else df.repartition(n)
+
+
 def cores(spark: SparkSession) -> int:
     return max(1, spark.sparkContext.defaultParallelism)
 
