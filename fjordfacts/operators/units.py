@@ -1,13 +1,19 @@
 """Amounts recorded in differing units, brought to one unit per quantity (problem 2).
 
-Each note is one device: its recorded amounts, in order, are the observations. The printed
-numbers of the note are the smooth underlying level; the log-value jump of an observation
-against it tells which factor the reader has already applied. Hidden states are those
-factors; switching costs more than staying, so Viterbi decoding also settles entries whose
-printed number is missing or whose digits were read wrong. The unit stated for the entry (row,
-number or column before note) then gives the exponent still missing.
-
-A note is a single row, so the whole operator is one narrow stage.
+Each note is one device: its recorded amounts, in order, are the observations. The hidden state of
+an entry is the unit its recorded number stands in, told as the factor (power of ten) by which it differs from
+the number in the stated unit. Four things speak for a state:
+
+* the printed numbers that may belong to the entry, a noisy observation: the log-value jump from each to the recorded number;
+* `scale_inferred`, what the reader noted of the factor;
+* the level: the amount that a state implies lies near the one before it, most of all in the same row;
+* the state before: a reader seldom switches within a note.
+
+Viterbi decoding finds the most likely course of all entries of a note together, so entries whose
+printed number is missing, read wrong or found in several places are settled by the rest. The unit
+stated for the entry (row, number or column before note) then gives the exponent still missing.
+
+A note is a single row, so the whole operator is one narrow stage; the notes of a batch are decoded together.
 """
 
 from __future__ import annotations
@@ -51,7 +57,10 @@ _DIGITS = "0-9OoIl|SsBZzGgbqAQD"
 _NUMBER = rf"[-\u2212(]?\s?(?:[{_DIGITS}]{{1,3}}(?:[{_BLANKS}.][{_DIGITS}]{{3}}(?!\w))+|[{_DIGITS}]+)(?:,[{_DIGITS}]+)?\)?"
 _YEAR_CELL = re.compile(r"^\s*((?:19|20)\d\d)\b(.*)$")
 _KEY_YEAR = re.compile(r"^(.*?)\s+((?:19|20)\d\d)$")
+#: Costs: of a switch of factor; the most of a jump that doesn't fit; nearness of a jump that fits; of a factor other than the scale noted.
 _SWITCH, _FAR, _EXACT, _STATED = 1.2, 6.0, 0.004, 0.4
+#: Costs a decade of distance between the levels of successive entries: of one row, of one kind of quantity; the most decades that count.
+_ROW_LEVEL, _KIND_LEVEL, _LEVEL_MOST = 0.45, 0.05, 4.0
 #: Exponents of the units of one kind of quantity, with what tells the kind in a unit's spelling.
 KINDS = (
     (frozenset({2, 0, -1}), re.compile(r"andel|%|prosent|promille|‰", re.I)),
@@ -66,6 +75,7 @@ STATES = (0, 3, 6, 2, 4, -3, -6, *sorted({a - b for kind in (_MONEY_KIND, *(k fo
 
 _STATE = np.array(STATES, float)
 _PRIOR = 0.01 * np.abs(_STATE) + 0.02 * (_STATE < 0)
+_PLACE = {s: i for i, s in enumerate(STATES)}
 _MOVE = np.where(np.eye(len(STATES), dtype=bool), 0.0, _SWITCH)
 
 
@@ -129,7 +139,7 @@ _CAPTION_START = re.compile(rf"\W*(?:{_ALL_UNITS.pattern}|(?:{CAPTION_WORDS})(?!
 
 def caption_unit(line: str) -> int | None:
     """Exponent of a line that says nothing but the unit of the note; None for any other line."""
-    if "\t" in line or len(line) > 90 or not _CAPTION_START.match(line):
+    if "\t" in line or not _CAPTION_START.match(line):
         return None
     e = unit_of(line)
     if e is None:
@@ -184,58 +194,31 @@ _AFTER = re.compile(
 )
 
 
-def _in_prose(name: str, flat: str) -> tuple[float, int] | None:
-    """The number that follows the name in running text, and its own unit (money, 0 if none stated)."""
-    folded = flat.lower()
-    at = folded.find(name.lower())
+_LINK = re.compile(r"\s*(?::|utgjorde|utgjør|er ført med|var|er|på)?\s*")
+
+
+def _in_prose(name: str, flat: str, folded: str) -> list[tuple[float, int | None]]:
+    """The numbers that follow the name wherever it stands in running text, each with its own unit (money, None if none is stated)."""
+    out: list[tuple[float, int | None]] = []
+    name = name.lower()
+    at = folded.find(name) if name else -1
     while at >= 0:
-        rest = flat[at + len(name) : at + len(name) + 60]
-        m = re.match(r"\s*(?::|utgjorde|utgjør|er ført med|var|er|på)?\s*", rest)
-        m = _AFTER.match(rest, m.end()) if m else None
-        if m:
+        m = _AFTER.match(flat, _LINK.match(flat, at + len(name)).end())
+        if m and any(c.isdigit() for c in m["n"]):
             value = parse_printed(m["n"])
             if value is not None:
-                stated = f"{m['before'] or ''} {m['after'] or ''}"
-                e = unit_of(stated, True)
-                return value, e if e is not None else None
-        at = folded.find(name.lower(), at + 1)
-    return None
-
+                reading = (value, unit_of(f"{m['before'] or ''} {m['after'] or ''}", True))
+                if reading not in out:
+                    out.append(reading)
+        at = folded.find(name, at + 1)
+    return out
 
-def viterbi(jumps: list[float | None], units: list[int], scale: float | None = None) -> list[int]:
-    """Most likely factor (power of ten) that the reader applied to each entry.
 
-    A jump is log10(recorded) - log10(printed), None where it can't be told. Emission: distance of
-    the jump to the state; for missing ones only the scale recorded with the note speaks, less than a
-    neighbour does. Transition: staying is free.
-    """
-    n, k = len(jumps), len(STATES)
-    stated = np.where(_STATE != round(math.log10(scale)), _STATED, 0.0) if scale and 0 < scale < math.inf else 0.0
-    cost, back = _PRIOR.copy(), np.zeros((n, k), int)
-    for i, j in enumerate(jumps):
-        if i:
-            total = cost[:, None] + _MOVE
-            back[i] = total.argmin(0)
-            cost = total.min(0)
-        far = _far(int(units[i]), getattr(units[i], "kind", Unit.kind))
-        cost = cost + far
-        if j is None:
-            cost = cost + stated
-        else:
-            # a jump that is just the way between two units of the kind outweighs a switch to and fro
-            way = round(j)
-            sure = abs(j - way) < _EXACT and way in STATES and way not in _WHOLE_NOTE and not far[STATES.index(way)]
-            cost = cost + np.minimum(np.abs(j - _STATE) * (4 if sure else 2), _FAR)
-    at = int(cost.argmin())
-    path = [at]
-    for i in range(n - 1, 0, -1):
-        at = int(back[i, at])
-        path.append(at)
-    return [STATES[s] for s in reversed(path)]
+Reading = tuple[float | None, int]
 
 
-def entry_exponents(tittel: str | None, raw_text: str | None, amounts: list[tuple[str, float | None]] | None, scale: float | None = None) -> list[tuple[str, int]]:
-    """(key, exponent still missing) for every non-null entry of one note, exponent 0 included."""
+def read_entries(tittel: str | None, raw_text: str | None, amounts: list[tuple[str, float | None]] | None) -> list[tuple[str, float, str, list[Reading]]]:
+    """(key, recorded, row label, [(printed number or None, exponent of the stated unit)]) of every non-null entry that isn't a count; one reading at least."""
     if not amounts:
         return []
     text = raw_text or ""
@@ -246,16 +229,18 @@ def entry_exponents(tittel: str | None, raw_text: str | None, amounts: list[tupl
             note_unit = unit_of(inner)
     rows = _tables(lines)
     folded = [_fold(label) for label, _ in rows]
-    flat = None
-    keys, jumps, units = [], [], []
+    flat = low = None
+    out = []
+
+    def settled(e: int | None) -> int:
+        return e if e is not None else note_unit if note_unit is not None else 0
+
     for key, value in amounts:
-        if value is None or value != value:
-            continue
-        if key.lower().startswith(COUNTED):
+        if value is None or value != value or key.lower().startswith(COUNTED):
             continue
         m = _KEY_YEAR.match(key)
         label, year = (m[1], m[2]) if m else (key, None)
-        unit, printed = _label_unit(label), None
+        unit, readings = _label_unit(label), []
         if year is not None:
             want = _fold(label)
             at = next((i for i, f in enumerate(folded) if f == want), None)
@@ -269,17 +254,87 @@ def entry_exponents(tittel: str | None, raw_text: str | None, amounts: list[tupl
                 own = unit_of(stated) if stated.strip() else None
                 unit = own if own is not None else unit if unit is not None else column
                 n = re.search(_NUMBER, cell)
-                printed = parse_printed(n[0]) if n else None
+                readings.append((parse_printed(n[0]) if n else None, settled(unit)))
         else:
-            flat = _prose(text) if flat is None else flat
-            found = _in_prose(key, flat)
-            if found:
-                printed = found[0]
-                unit = found[1] if found[1] is not None else unit
-        keys.append(key)
-        units.append(unit if unit is not None else note_unit if note_unit is not None else 0)
-        jumps.append(math.log10(abs(value)) - math.log10(abs(printed)) if printed and value else None)
-    return [(k, u - s) for k, u, s in zip(keys, units, viterbi(jumps, units, scale), strict=True)] if keys else []
+            if flat is None:
+                flat = _prose(text)
+                low = flat.lower()
+            readings += [(printed, settled(e if e is not None else unit)) for printed, e in _in_prose(key, flat, low if len(low) == len(flat) else flat)]
+        out.append((key, float(value), label, readings or [(None, settled(unit))]))
+    return out
+
+
+def decode(notes: list[list[tuple[str, float, str, list[Reading]]]], scales: list[float | None]) -> list[list[int]]:
+    """Exponents to the common unit of every entry of every note: Viterbi over all notes at once, entry by entry."""
+    k = len(STATES)
+    sizes = np.array([len(n) for n in notes], int)
+    total = int(sizes.sum())
+    if not total:
+        return [[] for _ in notes]
+    flat = [e for n in notes for e in n]
+    many = np.array([len(e[3]) for e in flat])
+    first = np.cumsum(many) - many
+    readings = [r for e in flat for r in e[3]]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        recorded = np.log10(np.abs(np.array([e[1] for e in flat])))
+        printed = np.log10(np.abs(np.array([np.nan if p is None else p for p, _ in readings], float)))
+    recorded[~np.isfinite(recorded)] = np.nan
+    printed[~np.isfinite(printed)] = np.nan
+    jump = np.repeat(recorded, many) - printed
+    units = np.array([int(u) for _, u in readings])
+    far = np.stack([_far(int(u), getattr(u, "kind", Unit.kind)) for _, u in readings])
+    # a jump that is just the way between two units of the kind outweighs a switch to and fro
+    way = np.round(np.nan_to_num(jump))
+    at = np.array([_PLACE.get(int(w), 0) for w in way])
+    sure = (np.abs(jump - way) < _EXACT) & (way == _STATE[at]) & ~np.isin(way, _WHOLE_NOTE) & (far[np.arange(len(far)), at] == 0)
+    cost = far + np.where(np.isnan(jump)[:, None], 0.0, np.minimum(np.abs(jump[:, None] - _STATE) * np.where(sure, 4, 2)[:, None], _FAR))
+    # of several readings each state takes the one that suits it best
+    emission = np.minimum.reduceat(cost, first, axis=0)
+    unit = np.repeat(units[first][:, None], k, axis=1)
+    for i in np.flatnonzero(many > 1):
+        unit[i] = units[first[i] + cost[first[i] : first[i] + many[i]].argmin(0)]
+    note = np.repeat(np.arange(len(notes)), sizes)
+    noted = np.array([round(math.log10(s)) if s is not None and 0 < s < math.inf else 99 for s in scales])[note]
+    emission += np.where((noted[:, None] != _STATE) & (noted != 99)[:, None], _STATED, 0.0)
+    level = np.nan_to_num(recorded)[:, None] + unit - _STATE
+    kinds = [getattr(e[3][0][1], "kind", Unit.kind) for e in flat]
+    weight = np.zeros(total)
+    for i in range(1, total):
+        if note[i] == note[i - 1] and recorded[i] == recorded[i] and recorded[i - 1] == recorded[i - 1]:
+            weight[i] = _ROW_LEVEL if flat[i][2] == flat[i - 1][2] else _KIND_LEVEL if kinds[i] == kinds[i - 1] else 0.0
+
+    begin = np.cumsum(sizes) - sizes
+    state = np.zeros(total, int)
+    order = np.argsort(-sizes, kind="stable")
+    for x in range(0, len(notes), 256):
+        some = order[x : x + 256]
+        some = some[sizes[some] > 0]
+        if not len(some):
+            continue
+        longest = int(sizes[some[0]])
+        back = np.zeros((longest, len(some), k), np.int8)
+        sums = _PRIOR + emission[begin[some]]
+        for i in range(1, longest):
+            live = int((sizes[some] > i).sum())  # notes come longest first
+            e = begin[some[:live]] + i
+            apart = np.minimum(np.abs(level[e][:, None, :] - level[e - 1][:, :, None]), _LEVEL_MOST)
+            ways = sums[:live, :, None] + _MOVE + weight[e][:, None, None] * apart
+            back[i, :live] = ways.argmin(1)
+            sums[:live] = ways.min(1) + emission[e]
+        now = sums.argmin(1)
+        for i in range(longest - 1, -1, -1):
+            live = int((sizes[some] > i).sum())
+            state[begin[some[:live]] + i] = now[:live]
+            if i:
+                now[:live] = back[i, np.arange(live), now[:live]]
+    exponents = unit[np.arange(total), state] - _STATE[state].astype(int)
+    return [exponents[a : a + n].tolist() for a, n in zip(begin, sizes, strict=True)]
+
+
+def entry_exponents(tittel: str | None, raw_text: str | None, amounts: list[tuple[str, float | None]] | None, scale: float | None = None) -> list[tuple[str, int]]:
+    """(key, exponent still missing) for every non-null entry of one note, exponent 0 included."""
+    entries = read_entries(tittel, raw_text, amounts)
+    return [(key, e) for (key, *_), e in zip(entries, decode([entries], [scale])[0], strict=True)]
 
 
 def missing_exponents(noter: DataFrame) -> DataFrame:
@@ -291,11 +346,9 @@ def missing_exponents(noter: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            out = [
-                (doc, nr, key, e)
-                for doc, nr, tittel, text, scale, keys, values in zip(*(pdf[c] for c in ("doc_id", "nr", "tittel", "raw_text", "scale", "ks", "vs")), strict=True)
-                for key, e in entry_exponents(tittel, text, list(zip(keys, values, strict=True)), scale)
-            ]
+            notes = [read_entries(t, x, list(zip(ks, vs, strict=True))) for t, x, ks, vs in zip(pdf["tittel"], pdf["raw_text"], pdf["ks"], pdf["vs"], strict=True)]
+            decoded = decode(notes, [None if s != s else s for s in pdf["scale"]])
+            out = [(doc, nr, key, e) for doc, nr, note, es in zip(pdf["doc_id"], pdf["nr"], notes, decoded, strict=True) for (key, *_), e in zip(note, es, strict=True)]
             yield pd.DataFrame(out, columns=["doc_id", "nr", "amount_key", "exp10"])
 
     scale = F.col("scale_inferred") if "scale_inferred" in noter.columns else F.lit(None).cast("double")

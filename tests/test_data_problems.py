@@ -145,6 +145,38 @@ def test_units_take_the_recorded_scale_where_nothing_else_tells():
     assert dict(units.entry_exponents("Tall (TNOK)", text, [("A 2020", 10.0), *lost], 1000.0)) == {"A 2020": 3, "Borte 2020": 3}
 
 
+def test_units_tell_a_switch_by_the_level():
+    text = "Tall i hele kroner\n\t2020\t2019\nA\t5 000\t\nB\t\t\n"
+    # the second year's number isn't printed: only the row's level tells that it was recorded in thousands more
+    assert dict(units.entry_exponents("x", text, [("A 2020", 5000.0), ("A 2019", 5_200_000.0)])) == {"A 2020": 0, "A 2019": -3}
+    assert dict(units.entry_exponents("x", text, [("A 2020", 5000.0), ("A 2019", 9000.0)])) == {"A 2020": 0, "A 2019": 0}
+
+
+def test_units_need_the_neighbours_where_numbers_are_missing():
+    r = random.Random(4)
+    notes, scales, truth = [], [], []
+    for _ in range(200):
+        factor, note, true = r.choice([0, 3, 6]), [], []
+        for k in range(6):
+            printed = 10 ** r.uniform(1, 6)
+            note.append((f"R{k} 2020", printed * 10**factor, f"R{k}", [(None if r.random() < 0.4 else printed, 3)]))
+            true.append(3 - factor)
+        notes.append(note)
+        scales.append(None)
+        truth.append(true)
+    right = lambda found: np.mean([a == b for f, t in zip(found, truth, strict=True) for a, b in zip(f, t, strict=True)])
+    together = units.decode(notes, scales)
+    alone = [[units.decode([[e]], [None])[0][0] for e in n] for n in notes]
+    assert right(together) > 0.99 and right(alone) < 0.8
+
+
+def test_units_choose_among_several_printed_numbers():
+    text = "Garantiramme på 15 665 er nevnt her.\nGarantiramme står på egen konto. Garantiramme utgjorde TNOK -678 ved årets slutt."
+    assert dict(units.entry_exponents("x", text, [("Garantiramme", -678.0)])) == {"Garantiramme": 3}
+    assert dict(units.entry_exponents("x", text, [("Garantiramme", 15665.0)])) == {"Garantiramme": 0}
+    assert units.caption_unit("Alle tallene i oppstillingen nedenfor og alle beløpene i noten er angitt og presentert i TNOK") == 3
+
+
 def test_units_query(spark):
     rows = [(1, "1", None, None, {"a": 1.0}), (1, "1", None, None, {"a": 1.0}), (2, "1", "t", "", None), (3, "2", "x", NOTE, {"Husleie 2020": 70.0, "Z": None})]
     df = spark.createDataFrame(rows, "doc_id long, nr string, tittel string, raw_text string, raw_amounts map<string,double>").selectExpr("*", "'e' as exp10", "1 as ks")
