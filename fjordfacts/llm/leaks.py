@@ -38,8 +38,8 @@ BLOCK = 4096
 #: Item words of a passage; steps between passages of documents and of items.
 PASSAGE, STEP, ITEM_STEP = 28, 14, 7
 RANK, OVERSAMPLING, POWER_ROUNDS = 128, 16, 2
-#: Most passages of the corpus that the latent space is fitted on.
-FIT = 65_536
+#: Most passages of the corpus that the latent space is fitted on. More of them only turn it from what parts the items to what parts the corpus.
+FIT = 4096
 #: Least cosine of a candidate.
 COSINE = 0.55
 #: Words around a candidate's passages within which the common subsequence is sought: in the document and in the item (64 together with the passage).
