@@ -32,11 +32,6 @@ def let(value: Column, body) -> Column:  # noqa: ANN001
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def find_fold(c: Column, part: Column) -> Column:
-    """1-based place of `part` in `c` without regard to case; 0 if absent."""
-    return F.position(F.lower(part), F.lower(c))
-
-
 def once(df: DataFrame, **columns: Column) -> DataFrame:
     """Adds columns that are computed once per row however often they are used later: the generator keeps the optimizer from repeating them in every use."""
     return df.select("*", F.inline(F.array(F.struct(*(c.alias(n) for n, c in columns.items())))))

@@ -6,18 +6,13 @@ than 30, becomes a tab. Lines stand by their least top edge.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 KEY = ["doc_id", "page_no", "block_id", "par_id", "line_id"]
 MIN_TAB = 30
 
 
-def box_columns(words: DataFrame) -> DataFrame:
-    """Adds right = left + width and line_key."""
-    return words.withColumns({"right": F.col("left") + F.col("width"), "line_key": F.struct("block_id", "par_id", "line_id")})
-
-
 def text_lines(words: DataFrame) -> DataFrame:
     """KEY, top, first_word, text. Empty words are left out; equal left edges keep the order of word_id."""
     word = F.struct(F.col("left").alias("x"), F.col("word_id").alias("w"), (F.col("left") + F.col("width")).alias("r"), F.col("text").alias("t"))
@@ -31,14 +26,7 @@ def text_lines(words: DataFrame) -> DataFrame:
 
 
 def page_text(words: DataFrame) -> DataFrame:
-    """(doc_id, page_no, text): one shuffle for the lines and one for the pages, both on prefixes of the line key."""
+    """(doc_id, page_no, text): one shuffle by page serves the lines and the pages. Lines with equal tops stand by their first word."""
     line = F.struct("top", "block_id", "par_id", "line_id", "text")
-    rows = text_lines(words).groupBy("doc_id", "page_no").agg(F.array_sort(F.collect_list(line)).alias("ls"))
+    rows = text_lines(words.repartition("doc_id", "page_no")).groupBy("doc_id", "page_no").agg(F.array_sort(F.collect_list(line)).alias("ls"))
     return rows.select("doc_id", "page_no", F.array_join(F.transform("ls", lambda x: x["text"]), "\n").alias("text"))
-
-
-def line_gaps(words: DataFrame) -> DataFrame:
-    """Words with the gap to the word before in their line (null for the first), by window."""
-    order = Window.partitionBy(*KEY).orderBy("left", "word_id")
-    right = F.col("left") + F.col("width")
-    return words.withColumn("gap", F.greatest(F.lit(0), F.col("left") - F.lag(right).over(order)))

@@ -13,8 +13,11 @@ from fjordfacts.functions.amounts import detect_scale
 from fjordfacts.functions.text import strip
 
 BREAK = "\n<<<PAGE_BREAK>>>\n"
-_LONG = r"(?dimU)^\s*Note\s+(\d+[a-z]?)[\s:.\-]+([^\n]+?)\s*$"
-_BARE = r"(?dimU)^\s*Note\s+(\d+[a-z]?)\s*$"
+#: What opens a note: the word, a number that may have a letter. Patterns are read with Unicode classes, without regard to case, line by line.
+_FLAGS, _OPEN = "(?dimU)", r"Note\s+(\d+[a-z]?)"
+_HEADER = rf"{_FLAGS}^\s*{_OPEN}[\s:.\-]+([^\n]+?)\s*$"
+#: Within a header whose title is itself a bare header: the next line that isn't blank is that one's title.
+_NESTED = rf"{_FLAGS}(\u0002{_OPEN}\u0002[^\u0003]*\u0003)\s*\n[ \t]*([^\n\u0001]{{1,99}}?)[ \t]*$"
 
 
 def segment(pages: DataFrame) -> DataFrame:
@@ -25,9 +28,9 @@ def segment(pages: DataFrame) -> DataFrame:
     """
     joined = pages.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("page_no", F.coalesce("text", F.lit("")).alias("text")))).alias("ps"))
     joined = joined.select("doc_id", F.array_join(F.transform("ps", lambda p: p["text"]), BREAK).alias("text"))
-    marked = F.regexp_replace("text", _LONG, "\u0001$1\u0002$2\u0002$0\u0003")
+    marked = F.regexp_replace("text", _HEADER, "\u0001$1\u0002$2\u0002$0\u0003")
     # a bare header follows whose title is the next line that isn't blank
-    marked = F.regexp_replace(marked, r"(?dimU)(\u0002Note\s+(\d+[a-z]?)\u0002[^\u0003]*\u0003)\s*\n[ \t]*([^\n\u0001]{1,99}?)[ \t]*$", "$1\u0001$2\u0002$3\u0002\u0003")
+    marked = F.regexp_replace(marked, _NESTED, "$1\u0001$2\u0002$3\u0002\u0003")
     parts = joined.select("doc_id", F.posexplode(F.split(marked, "\u0001")).alias("pos", "part"))
     breaks = F.regexp_count("part", F.lit("<<<PAGE_BREAK>>>"))
     order = Window.partitionBy("doc_id").orderBy("pos")
@@ -42,8 +45,8 @@ def segment(pages: DataFrame) -> DataFrame:
     return out.select("doc_id", "nr", "tittel", text.alias("raw_text"), F.sequence(F.col("p0").cast("int"), F.col("p1").cast("int")).alias("page_refs"))
 
 
-def enrich(notes: DataFrame, amounts: str = "raw_amounts") -> DataFrame:
-    """Adds scale_inferred (from the first 300 characters), scaled amounts, note_type and has_table."""
-    scale = detect_scale(F.substring("raw_text", 1, 300))
+def enrich(notes: DataFrame, amounts: str = "raw_amounts", head: int | None = 300) -> DataFrame:
+    """Adds scale_inferred (from the first `head` characters, or the whole text), scaled amounts, note_type and has_table."""
+    scale = detect_scale(F.col("raw_text") if head is None else F.substring("raw_text", 1, head))
     table = F.size(amounts) > 0
     return notes.withColumn("scale_inferred", scale).withColumns({amounts: F.transform_values(amounts, lambda k, v: v * F.col("scale_inferred")), "note_type": F.when(table, "table").otherwise("narrative"), "has_table": table})

@@ -19,18 +19,26 @@ def pending(inputs: DataFrame, done: DataFrame, key: list[str]) -> DataFrame:
     return inputs.join(done.select(*key).distinct(), key, "left_anti")
 
 
-def both_present(a: DataFrame, b: DataFrame, key: list[str]) -> DataFrame:
-    return a.join(b.select(*key).distinct(), key, "left_semi")
+#: What becomes of a filing in a resumable run; the last two count as errors.
+STATUSES = ("ok", "already_exists", "skipped_legacy", "no_pdf", "no_nokkeltall", "error", "uncaught")
 
 
-def status_counts(runs: DataFrame) -> DataFrame:
-    return runs.groupBy("status").agg(F.count(F.lit(1)).alias("n"))
+def progress(runs: DataFrame) -> DataFrame:
+    """One row: n_processed and a count for each status; `error` includes uncaught ones. Other statuses count in n_processed only."""
+    s = F.col("status")
+    return runs.agg(F.count(F.lit(1)).alias("n_processed"), *(F.count_if(s == name).alias(name) for name in STATUSES[:5]), F.count_if(s.isin(*STATUSES[5:])).alias("error"))
 
 
-def progress(runs: DataFrame, fine: tuple[str, ...] = ("ok", "skipped_legacy_format", "skipped_exists")) -> DataFrame:
-    """One row: n_total, n_ok, n_skipped, n_failed."""
-    s = F.col("status")
-    return runs.agg(F.count(F.lit(1)).alias("n_total"), F.count_if(s == "ok").alias("n_ok"), F.count_if(s.isin(*fine) & (s != "ok")).alias("n_skipped"), F.count_if(~s.isin(*fine)).alias("n_failed"))
+def run_status(asked: DataFrame, done: DataFrame, files: DataFrame, api: DataFrame, outcome: DataFrame, key: list[str]) -> DataFrame:
+    """key, status, reason of every filing asked for: what is done already, what lacks a file or a registry record, else the outcome (key, status, error).
+
+    A filing without an outcome failed unseen. The reason keeps the end of an error's text, where the cause stands.
+    """
+    flag = lambda df, name: df.select(*key).distinct().withColumn(name, F.lit(True))
+    rows = asked.select(*key).distinct().join(flag(done, "_done"), key, "left").join(flag(files, "_file"), key, "left").join(flag(api, "_api"), key, "left")
+    rows = rows.join(outcome.select(*key, F.col("status").alias("_status"), F.col("error").alias("_error")), key, "left")
+    status = F.when(F.col("_done"), "already_exists").when(F.col("_file").isNull(), "no_pdf").when(F.col("_api").isNull(), "no_nokkeltall").when(F.col("_error").isNotNull(), "error").otherwise(F.coalesce("_status", F.lit("uncaught")))
+    return rows.select(*key, status.alias("status"), F.when(status == "error", F.substring("_error", F.greatest(F.lit(1), F.length("_error") - 1499), F.lit(1500))).alias("reason"))
 
 
 def setup_distribution(runs: DataFrame) -> DataFrame:
@@ -38,8 +46,10 @@ def setup_distribution(runs: DataFrame) -> DataFrame:
 
 
 def top_disagreements(checks: DataFrame, n: int = 20) -> DataFrame:
-    """The fields that fail most often."""
+    """The statement fields that fail most often. Without a layout column all fields count as such."""
     bad = checks.where("missing = 'extracted' or (missing is null and not tolerance_ok)")
+    if "layout" in checks.columns:
+        bad = bad.where("layout in ('resultat', 'balanse')")
     return bad.groupBy("field").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "field").limit(n)
 
 
@@ -58,7 +68,8 @@ def pass_rate(checks: DataFrame) -> DataFrame:
 
 
 def diagnosis_counts(voted: DataFrame) -> DataFrame:
-    return voted.groupBy("diagnosis").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("reconciled_value").isNotNull()).alias("n_resolved"))
+    """(diagnosis, n, n_resolved): only a corrected misreading is resolved."""
+    return voted.groupBy("diagnosis").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("diagnosis") == "ocr_misread_corrected").alias("n_resolved"))
 
 
 def mean_elapsed(runs: DataFrame) -> DataFrame:
@@ -76,26 +87,63 @@ def extract_summary(notes: DataFrame) -> DataFrame:
 
 
 def suspects(voted: DataFrame, n: int = 50) -> DataFrame:
-    """The report's list of values the registry may have wrong."""
-    return voted.where("diagnosis = 'api_disagrees_with_pdf'").orderBy("doc_id", "field").limit(n)
+    """The report's list of values the registry may have wrong: corrections with that diagnosis, which the vote never gives."""
+    return voted.where("diagnosis = 'nokkeltall_suspect'").orderBy("doc_id", "field").limit(n)
 
 
-def raster_pages(hits: DataFrame, pages: DataFrame, checks: DataFrame) -> DataFrame:
-    """(doc_id, page): pages with a disagreeing hit, and all pages of documents that miss a value."""
-    wrong = checks.where("missing is null and not tolerance_ok").select("doc_id", F.col("field").alias("canonical"))
-    some = hits.join(wrong, ["doc_id", "canonical"], "left_semi").select("doc_id", (F.col("page_idx") + 1).alias("page"))
-    short = checks.where("missing = 'extracted'").select("doc_id").distinct()
-    return some.unionByName(pages.join(short, "doc_id", "left_semi").select("doc_id", "page")).distinct()
+def raster_pages(hits: DataFrame, pages: DataFrame, summary: DataFrame) -> DataFrame:
+    """(doc_id, page), pages counted from 0: pages with a disagreeing hit, and the registry pages after the first of documents that miss a value.
 
+    summary as of `validation_summary`; hits: (doc_id, canonical, page_idx), page_idx counting from the second page; pages: (doc_id, page from 1, source).
+    """
+    wrong = summary.select("doc_id", F.explode("disagreements").alias("canonical"))
+    some = hits.join(wrong, ["doc_id", "canonical"], "left_semi").select("doc_id", (F.col("page_idx") + 1).cast("int").alias("page"))
+    short = summary.where("size(disagreements) > 0 and n_missing_extract > 0").select("doc_id")
+    rest = pages.where("source = 'brreg' and page > 1").join(short, "doc_id", "left_semi").select("doc_id", (F.col("page") - 1).cast("int").alias("page"))
+    return some.unionByName(rest).distinct()
 
-def numbered(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
-    return df.withColumn("rn", F.row_number().over(Window.partitionBy(*key).orderBy(*order)))
 
+def run_totals(status: DataFrame, summary: DataFrame, corrections: DataFrame) -> DataFrame:
+    """(metric, n): filings by status, field totals, corrections attempted and resolved.
 
-def report(rates: DataFrame, counts: DataFrame) -> str:
-    """Markdown of small, already aggregated results."""
-    out = ["# Run", "", "| status | n |", "| - | - |"]
-    out += [f"| {r['status']} | {r['n']} |" for r in counts.orderBy("status").collect()]
-    out += ["", "| field | pass | fail | missing | % |", "| - | - | - | - | - |"]
-    out += [f"| {r['field']} | {r['n_pass']} | {r['n_fail']} | {r['n_missing']} | {r['pass_pct']:.1f} |" for r in rates.orderBy("field").collect()]
-    return "\n".join(out) + "\n"
+    status: (doc_id, status); summary as of `validation_summary`; corrections: (doc_id, diagnosis).
+    """
+    s = F.col("status")
+    counts = {"n_total": F.count(F.lit(1)), **{alias: F.count_if(s == name) for name, alias in (("ok", "n_ok"), ("no_pdf", "n_no_pdf"), ("no_api", "n_no_api"), ("skipped_legacy_format", "n_skipped_legacy"))}, "n_extract_failed": F.count_if(s.isin("extract_failed", "uncaught_exception"))}
+    fields = {alias: F.coalesce(F.sum(c), F.lit(0)) for c, alias in (("n_pass", "field_pass_total"), ("n_fail", "field_fail_total"), ("n_missing_extract", "field_missing_total"))}
+    fixed = {"n_corrections_attempted": F.count(F.lit(1)), "n_corrections_resolved": F.count_if(F.col("diagnosis") == "ocr_misread_corrected")}
+    rows = [df.agg(F.array(*(F.struct(F.lit(k).alias("metric"), v.cast("bigint").alias("n")) for k, v in each.items())).alias("a")).select(F.inline("a")) for df, each in ((status, counts), (summary, fields), (corrections, fixed))]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+
+
+def per_filing(status: DataFrame, summary: DataFrame, corrections: DataFrame) -> DataFrame:
+    """A run's table: one row for each filing with status, counts, disagreements joined by commas and corrections, nulls where it didn't get so far."""
+    fixed = corrections.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_corrections"), F.count_if(F.col("diagnosis") == "ocr_misread_corrected").alias("n_corrections_resolved"))
+    out = status.join(summary, "doc_id", "left").join(fixed, "doc_id", "left")
+    return out.withColumn("disagreements", F.coalesce(F.array_join("disagreements", ","), F.lit("")))
+
+
+def report(title: str, status: DataFrame, setups: DataFrame, rates: DataFrame, diagnoses: DataFrame, elapsed: DataFrame, doubted: DataFrame) -> str:
+    """Markdown of small, already aggregated results: status and setup counts, field rates, corrections, suspects."""
+    counts = {r["status"]: r["n"] for r in status.collect()}
+    fields = rates.orderBy("field").collect()
+    passed, failed, missing = (sum(r[c] for r in fields) for c in ("n_pass", "n_fail", "n_missing"))
+    total = passed + failed + missing
+    mean = elapsed.first()["mean_elapsed"]
+
+    def grid(head: list[str], rows: list[list]) -> list[str]:
+        return ["| " + " | ".join(head) + " |", "|" + " - |" * len(head), *("| " + " | ".join(map(str, r)) + " |" for r in rows), ""]
+
+    cover = [["Records", sum(counts.values())], ["Status `ok`", counts.get("ok", 0)], *([f"Status `{s}`", n] for s, n in sorted(counts.items(), key=lambda x: (-x[1], str(x[0]))) if s != "ok"), ["Field checks", total]]
+    if total:
+        cover += [["Pass rate", f"{passed / total:.1%}"], ["Pass", passed], ["Fail", failed], ["Missing", missing]]
+    if mean is not None:
+        cover.append(["Mean seconds", f"{mean:.1f}"])
+    found = diagnoses.orderBy(F.desc("n"), "diagnosis").collect()
+    out = [f"# {title}", "", "## Coverage", "", *grid(["metric", "value"], cover), "## Setups", "", *grid(["setup", "n"], [[r["setup"], r["n"]] for r in setups.orderBy(F.desc("n"), "setup").collect()])]
+    out += ["## Fields", "", *grid(["field", "pass", "fail", "missing", "%"], [[r["field"], r["n_pass"], r["n_fail"], r["n_missing"], f"{r['pass_pct']:.0f}"] for r in fields])]
+    out += ["## Corrections", "", f"Attempted {sum(r['n'] for r in found)}, resolved {sum(r['n_resolved'] for r in found)}", "", *grid(["diagnosis", "n"], [[r["diagnosis"], r["n"]] for r in found])]
+    doubts = doubted.collect()
+    if doubts:
+        out += ["## Suspects", "", *grid(list(doubted.columns), [list(r) for r in doubts])]
+    return "\n".join(out)

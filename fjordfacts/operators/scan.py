@@ -1,4 +1,4 @@
-"""Statement fields found on page lines: a broadcast of the labels (32 of them) against the lines, then the first hit."""
+"""Statement fields found on page lines: one pattern of all labels reads the label that opens a line, an equi-join names its field, then the first hit counts."""
 
 from __future__ import annotations
 
@@ -6,17 +6,26 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fjordfacts.functions.amounts import normalize_amount, two_number_split
-from fjordfacts.functions.text import let, lstrip, once, split_lines, strip
-from fjordfacts.operators.schema import scan_labels
+from fjordfacts.functions.text import BLANKS, let, lstrip, once, split_lines, strip
+from fjordfacts.operators.schema import FIELDS, scan_labels
 
 _NUMS = "array<struct<v:double,at:int>>"
 
 
+#: What may follow a label: its end, a mark, a number; no word.
+_END = rf"$|[\t:.\u00a0,\d-]|[ ][{BLANKS}]*(?:$|[\d-])"
+
+
 def anchored(line: Column, label: Column) -> Column:
     """Whether the label opens the line and no word goes on after it."""
     low, want = F.lower(lstrip(line)), F.lower(strip(label))
-    after = F.substring(low, F.length(want) + 1, F.length(low))
-    return F.startswith(low, want) & after.rlike(r"^($|[\t:.\u00a0,\d-]|[ ]\s*($|[\d\t-]))")
+    return F.startswith(low, want) & F.substring(low, F.length(want) + 1, F.length(low)).rlike(f"^(?:{_END})")
+
+
+def opening_label(line: Column, labels: list[str]) -> Column:
+    """The label, in lower case, that opens the line as `anchored` has it, '' if none does. Labels of letters and blanks: of two that open a line only the longer can be anchored."""
+    any_label = "|".join(sorted({x.lower() for x in labels}, key=lambda x: (-len(x), x)))
+    return F.regexp_extract(F.lower(lstrip(line)), f"^({any_label})(?:{_END})", 1)
 
 
 def _number(v: Column, at: Column | int) -> Column:
@@ -73,10 +82,10 @@ def page_lines(pages: DataFrame) -> DataFrame:
 
 
 def _matches(pages: DataFrame) -> DataFrame:
-    labels = F.broadcast(scan_labels(pages.sparkSession).withColumn("_want", F.lower("label")))  # 32 rows
-    lines = page_lines(pages).where(F.length("line") > 0).withColumn("_low", F.lower(F.ltrim("line")))
-    near = lines.join(labels, F.startswith(F.col("_low"), F.col("_want")) | (F.col("line").rlike(r"^[\t\u00a0\u2009]") & F.contains(F.col("_low"), F.col("_want"))))
-    return near.where(anchored(F.col("line"), F.col("label"))).drop("_low", "_want")
+    lines = page_lines(pages).where(F.length("line") > 0)
+    found = once(lines, _low=opening_label(F.col("line"), [x for f in FIELDS if f[3] != "generell" for x in f[4]])).where("_low <> ''")
+    labels = F.broadcast(scan_labels(pages.sparkSession).withColumn("_low", F.lower("label")))  # 32 rows
+    return found.join(labels, "_low").drop("_low")
 
 
 def _first(rows: DataFrame) -> DataFrame:
@@ -112,11 +121,16 @@ def scan_group_fields(pages: DataFrame) -> DataFrame:
     return _first(rows).select("doc_id", "canonical", at(-2).alias("value"), at(-1).alias("value_prev"), F.when(four, at(-4)).alias("morselskap_value"), F.when(four, at(-3)).alias("morselskap_value_prev"), "page_idx", "line_idx", F.col("line").alias("raw_line"), F.col("label").alias("label_matched"), F.size("nums").alias("n_numbers"), F.when(four, "4col").otherwise("2col_fallback").alias("layout"))
 
 
-def loose_value(lines: DataFrame, label: Column) -> DataFrame:
-    """(doc_id, page_idx, value): the first line that opens with the label, longer labels included; the last number but one, or the only one, cut to a whole number."""
+def loose_value(pages: DataFrame, labels: DataFrame, on: tuple[str, ...] = ("doc_id", "page_no")) -> DataFrame:
+    """`on`, field, value, raw: of the first line that opens with the label, longer labels included, the last number but one, or the only one, cut to a whole number; null if that line has none.
+
+    labels: (`on`, field, label). Columns of at most four digits don't count.
+    """
+    lines = pages.select(*on, F.posexplode(split_lines(F.col("text"))).alias("line_idx", "line")).join(labels, list(on))
+    want = F.lower(strip(F.col("label")))
     low = F.lower(lstrip(F.col("line")))
-    hit = lines.where(F.startswith(low, F.lower(label)))
-    cells = F.filter(F.transform(F.split(_tail(F.col("line"), label), "\t"), strip), lambda c: (c != "") & ~F.regexp_replace(c, r"[ \u00a0]", "").rlike(r"^\d{1,4}$"))
-    nums = F.filter(F.transform(cells, lambda c: normalize_amount(c)), lambda v: v.isNotNull())
-    value = F.coalesce(F.try_element_at(nums, F.lit(-2)), F.try_element_at(nums, F.lit(1))).cast("bigint")
-    return hit.groupBy("doc_id", "page_idx").agg(F.min_by(F.struct(value.alias("value")), "line_idx").alias("x")).select("doc_id", "page_idx", "x.value")
+    hit = lines.where(F.startswith(low, want) & F.substring(low, F.length(want) + 1, F.length(low)).rlike(r"^($|[\t :.\u00a0,\d-])"))
+    first = hit.groupBy(*on, "field").agg(F.min_by(F.struct("line", "label"), "line_idx").alias("x")).select(*on, "field", F.col("x.line").alias("raw"), "x.label")
+    cells = F.filter(F.transform(F.split(F.substring(F.col("raw"), F.length("label") + 1, F.length("raw")), "\t"), strip), lambda c: (c != "") & ~F.regexp_replace(c, r"[ \u00a0,]", "").rlike(r"^\d{1,4}$"))
+    rows = once(first, nums=F.filter(F.transform(cells, lambda c: normalize_amount(c)), lambda v: v.isNotNull()))
+    return rows.select(*on, "field", F.coalesce(F.try_element_at("nums", F.lit(-2)), F.try_element_at("nums", F.lit(1))).cast("bigint").alias("value"), "raw")

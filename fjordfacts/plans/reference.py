@@ -1,7 +1,7 @@
 """Queries for the document-to-facts operators, over whole tables, each with SQL where SQL can express it.
 
 Inputs that the tables don't hold (word boxes, page sizes, registry records) are made from them by
-the same arithmetic here and in the SQL.
+the same arithmetic here and in the SQL. Odd cases are in `plans.cases`.
 """
 
 from __future__ import annotations
@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fjordfacts.functions import amounts
-from fjordfacts.operators import fingerprint, kv, layout, metadata, notes, pages, reconcile, runs, scan
-from fjordfacts.operators.schema import field_spec
+from fjordfacts.operators import fingerprint, flow, kv, layout, metadata, notes, pages, reconcile, runs, scan
+from fjordfacts.operators.schema import FIELDS, field_spec
 from fjordfacts.session import cut, table, tasks
 from fjordfacts.sources import io
 
@@ -55,9 +55,9 @@ def a10_ragged_union(spark: SparkSession, d: str) -> DataFrame:
     return io.flat_for_csv([table(spark, d, "region"), table(spark, d, "nation").select(F.col("n_regionkey").alias("r_regionkey"), "n_nationkey")])
 
 
-@query("select regexp_replace(orgnr, '[^0-9]', '', 'g') as orgnr, year from records where year is not null and doc_id % 7 <> 0")
+@query("select regexp_replace(orgnr, '[^0-9]', '', 'g') as orgnr, year from records where doc_id % 7 <> 0")
 def a12_parse_spec(spark: SparkSession, d: str) -> DataFrame:
-    lines = table(spark, d, "records").where("year is not null").select(F.concat(F.when(F.col("doc_id") % 7 == 0, "# ").otherwise(""), F.regexp_replace("orgnr", "[^0-9]", ""), F.lit("  "), "year", F.lit(" x")).alias("value"))
+    lines = table(spark, d, "records").select(F.concat(F.when(F.col("doc_id") % 7 == 0, "# ").otherwise(""), F.regexp_replace("orgnr", "[^0-9]", ""), F.lit("  "), F.coalesce(F.col("year").cast("string"), F.lit("-")), F.lit(" x")).alias("value"))
     return io.parse_spec(lines)
 
 
@@ -100,11 +100,11 @@ def b4_detect_scale(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""
-select o_orderkey, 0 as pos, 4 as start, floor(o_totalprice)::double as value from orders where o_totalprice >= 1000
-union all select o_orderkey, 1, 4 + length(format('{:,}', floor(o_totalprice)::bigint)) + 4, (o_custkey % 900 + 100)::double from orders where o_totalprice >= 1000""")
+select o_orderkey, 0 as pos, 4 as start, floor(o_totalprice)::double as value from orders
+union all select o_orderkey, 1, 4 + length(format('{:,}', floor(o_totalprice)::bigint)) + 4, (o_custkey % 900 + 100)::double from orders""")
 def b5_find_amounts(spark: SparkSession, d: str) -> DataFrame:
     line = F.concat(F.lit("Sum "), F.replace(F.format_number(F.floor("o_totalprice"), 0), F.lit(","), F.lit(" ")), F.lit(" og "), (F.col("o_custkey") % 900 + 100).cast("string"), F.lit(" x"))
-    rows = table(spark, d, "orders").where("o_totalprice >= 1000").select("o_orderkey", F.posexplode(amounts.find_amounts(line)).alias("pos", "a"))
+    rows = table(spark, d, "orders").select("o_orderkey", F.posexplode(amounts.find_amounts(line)).alias("pos", "a"))
     return rows.select("o_orderkey", "pos", "a.start", "a.value")
 
 
@@ -194,25 +194,42 @@ def e10_key_values(spark: SparkSession, d: str) -> DataFrame:
 # ---- first page and setup ----
 
 
-@query("""
-select doc_id, regexp_matches(t, '(^|[^a-zæøå0-9_])avviklingsregnskap($|[^a-zæøå0-9_])') as avviklingsregnskap, contains(t, 'ikke revidert') or contains(t, 'ikke-revidert') as ikke_revidert,
-  contains(t, 'fravalg av revisjon') or contains(t, 'fravalg revisjon') or contains(t, 'ikke skal revideres: ja') or contains(t, 'ikke revideres: ja') or regexp_matches(t, 'valgt\\s+bort\\s+revisjon|revisjon\\s+er\\s+fravalgt') as fravalg_revisjon,
-  case when contains(t, 'konsernregnskap') or contains(t, 'morselskap i konsern: ja') then 'KONSERN' else 'SELSKAP' end as regnskapstype
-from (select doc_id, lower(coalesce(_ocr_text, '')) as t from generell_info)""")
-def f1_flags(spark: SparkSession, d: str) -> DataFrame:
-    return metadata.first_page(table(spark, d, "generell_info").select("doc_id", F.col("_ocr_text").alias("text"))).select("doc_id", "avviklingsregnskap", "ikke_revidert", "fravalg_revisjon", "regnskapstype")
+_BLANK_ENDS = "'^[\\s\u00a0]+|[\\s\u00a0]+$'"
 
 
-@query("""
-select doc_id, case when t is null then null else nullif(trim(regexp_extract(t, '(?im)^[^\\n]*foretaksnavn[^\\n:]*:([^\\n]*)', 1)), '') end as foretaksnavn,
-  case lower(trim(regexp_extract(t, '(?im)^[^\\n]*morselskap i konsern[^\\n:]*:([^\\n]*)', 1))) when 'ja' then true when 'nei' then false end as morselskap
-from (select doc_id, _ocr_text as t from generell_info where _ocr_text is null or regexp_matches(_ocr_text, '(?i)foretaksnavn:') and regexp_matches(_ocr_text, '(?i)morselskap i konsern:'))""")
-def f1_first_page(spark: SparkSession, d: str) -> DataFrame:
-    src = table(spark, d, "generell_info").where(F.col("_ocr_text").isNull() | (F.col("_ocr_text").rlike("(?i)foretaksnavn:") & F.col("_ocr_text").rlike("(?i)morselskap i konsern:")))
-    return metadata.first_page(src.select("doc_id", F.col("_ocr_text").alias("text"))).select("doc_id", "foretaksnavn", "morselskap")
+def _after(label: str) -> str:
+    """SQL of the value after a label in the lines `ls`."""
+    low = label.lower()
+    strip = lambda x: f"regexp_replace({x}, {_BLANK_ENDS}, '', 'g')"
+    read = f"case when contains(x, ':') then {strip(chr(115) + 'ubstr(x, strpos(x, chr(58)) + 1)')} else nullif({strip(f'substr(x, strpos(lower(x), {low!r}) + {len(low)})')}, '') end"
+    return f"list_filter(list_transform(list_filter(ls, lambda x: contains(lower(x), '{low}')), lambda x: {read}), lambda v: v is not null)[1]"
 
 
-@query()
+def _yes_no(x: str) -> str:
+    return f"case when lower({x}) in ('ja', 'ja.', 'true', 'yes') then true when lower({x}) in ('nei', 'nei.', 'false', 'no') then false end"
+
+
+_DATES = r"([0-9]{2})\.([0-9]{2})\.([0-9]{4})\s*[-–]\s*([0-9]{2})\.([0-9]{2})\.([0-9]{4})"
+
+
+def _date(x: str, *groups: int) -> str:
+    return f"case when regexp_matches({x}, '{_DATES}') then " + " || '-' || ".join(f"regexp_extract({x}, '{_DATES}', {g})" for g in groups) + " end"
+
+
+@query(f"""
+with l as (select doc_id, lower(coalesce(_ocr_text, '')) as t, string_split(coalesce(_ocr_text, ''), chr(10)) as ls from generell_info),
+v as (select *, {_after("Organisasjonsnummer")} as o, {_after("Foretaksnavn")} as n, {_after("Organisasjonsform")} as f, {_after("Årsregnskapets periode")} as p, {_after("Journalnummer")} as j,
+  coalesce({_after("Morselskap i konsern")}, {_after("Morselskap")}) as m, coalesce({_after("Regler for små foretak")}, {_after("Smaa foretak")}) as s, coalesce({_after("Dato for fastsettelse")}, {_after("fastsettelse av årsregnskapet")}) as d from l),
+w as (select *, {_yes_no("m")} as morselskap, {_yes_no("s")} as smaa_foretak, upper(regexp_extract(f, '^(\\S+)', 1)) as g from v)
+select doc_id, nullif(regexp_replace(regexp_extract(o, '([0-9]{{3}}\\s*[0-9]{{3}}\\s*[0-9]{{3}})', 1), '\\s', '', 'g'), '') as orgnr, nullif(n, '') as foretaksnavn,
+  case g when 'AKSJESELSKAP' then 'AS' when 'ALLMENNAKSJESELSKAP' then 'ASA' when 'ANSVARLIG' then 'ANS' when 'STIFTELSE' then 'STI' when '' then null else g end as organisasjonsform,
+  {_date("p", 3, 2, 1)} as regnskapsperiode_fra, {_date("p", 6, 5, 4)} as regnskapsperiode_til, nullif(replace(regexp_extract(j, '([0-9][0-9\\s]{{6,}})', 1), ' ', ''), '') as journalnr, morselskap, smaa_foretak,
+  case when contains(t, 'alminnelige regler') or contains(t, 'alminnelig regler') or contains(t, 'alminnelige regnskapsregler') or contains(t, 'regnskapslovens alminnelige') or contains(t, 'reqgnskapslovens alminnelige') then 'regnskapslovenAlminneligRegler'
+    when contains(t, 'regler for små foretak benyttet: ja') or coalesce(smaa_foretak, false) then 'regnskapslovenSmaaForetak' else 'regnskapslovenAlminneligRegler' end as regnskapsregler, 'store' as oppstillingsplan,
+  case when regexp_matches(d, '[0-9]{{2}}\\.[0-9]{{2}}\\.[0-9]{{4}}') then regexp_extract(d, '([0-9]{{2}})\\.([0-9]{{2}})\\.([0-9]{{4}})', 3) || '-' || regexp_extract(d, '([0-9]{{2}})\\.([0-9]{{2}})\\.([0-9]{{4}})', 2) || '-' || regexp_extract(d, '([0-9]{{2}})\\.([0-9]{{2}})\\.([0-9]{{4}})', 1) end as dato_fastsettelse,
+  regexp_matches(t, '(^|[^a-zæøå0-9_])avviklingsregnskap($|[^a-zæøå0-9_])') as avviklingsregnskap, contains(t, 'ikke revidert') or contains(t, 'ikke-revidert') as ikke_revidert,
+  contains(t, 'fravalg av revisjon') or contains(t, 'fravalg revisjon') or contains(t, 'ikke skal revideres: ja') or contains(t, 'ikke revideres: ja') or regexp_matches(t, 'valgt\\s+bort\\s+revisjon|revisjon\\s+er\\s+fravalgt') as fravalg_revisjon,
+  case when contains(t, 'konsernregnskap') or contains(t, 'morselskap i konsern: ja') then 'KONSERN' else 'SELSKAP' end as regnskapstype, 'NOK' as valuta from w""")
 def f1_all_fields(spark: SparkSession, d: str) -> DataFrame:
     return metadata.first_page(table(spark, d, "generell_info").select("doc_id", F.col("_ocr_text").alias("text")))
 
@@ -241,26 +258,41 @@ def f8_setup(spark: SparkSession, d: str) -> DataFrame:
 
 # ---- statement scan ----
 
-_HITS = "select doc_id, canonical, max((label_matched, value, value_prev)) as m from field_hits where abs(value) >= 1000 and abs(value_prev) >= 1000 and label_matched is not null group by all"
+#: Canonical name and first label of the statement fields, for the SQL.
+_LABELS = ", ".join(f"('{f[1]}', '{f[4][0]}', {f[0]})" for f in FIELDS if f[3] != "generell")
+_SHORT = "length(cast(abs({0})::bigint as varchar)) <= 3"
+_HITS = "select doc_id, canonical, trunc(max(case when not isnan(value) then value end)) as v, trunc(max(case when not isnan(value_prev) then value_prev end)) as p from field_hits where doc_id is not null group by all"
 
 
-def _statement_pages(spark: SparkSession, d: str, cells: list) -> DataFrame:
-    best = table(spark, d, "field_hits").where("abs(value) >= 1000 and abs(value_prev) >= 1000 and label_matched is not null").groupBy("doc_id", "canonical").agg(F.max(F.struct("label_matched", "value", "value_prev")).alias("m"))
-    number = lambda c: c.cast("bigint").cast("string")
-    line = F.concat_ws("\t", "m.label_matched", *(number(c) for c in cells))
-    best = best.repartition(tasks(table(spark, d, "field_hits")), "doc_id")
-    return best.groupBy("doc_id").agg(F.array_join(F.array_sort(F.collect_list(line)), "\n").alias("text")).withColumn("page_no", F.lit(1))
+def _statement_values(spark: SparkSession, d: str) -> DataFrame:
+    """(doc_id, canonical, label, v, p): whole numbers, null where no row has one."""
+    known = lambda c: F.max(F.when(~F.isnan(c), F.col(c))).cast("bigint")
+    hits = table(spark, d, "field_hits").where("doc_id is not null").groupBy("doc_id", "canonical").agg(known("value").alias("v"), known("value_prev").alias("p"))
+    return hits.join(F.broadcast(field_spec(spark).select("canonical", F.get("labels", F.lit(0)).alias("label"))), "canonical")
 
 
-@query(f"select doc_id, canonical, trunc(m[2])::double as value, trunc(m[3])::double as value_prev, 2 as n_numbers from ({_HITS})".replace("m[2]", "struct_extract_at(m, 2)").replace("m[3]", "struct_extract_at(m, 3)"))
+def _statement_pages(values: DataFrame, cells: list, page_no: int = 1) -> DataFrame:
+    """One page for each document: a line for each field, blank lines between; a null cell is an empty one."""
+    line = F.concat_ws("\t", "label", *(F.coalesce(c.cast("string"), F.lit("")) for c in cells))
+    rows = values.repartition(tasks(values), "doc_id").groupBy("doc_id").agg(F.array_join(F.array_sort(F.collect_list(line)), "\n\n").alias("text"))
+    return rows.withColumn("page_no", F.lit(page_no))
+
+
+@query(f"""
+with s as (select *, v is not null and not {_SHORT.format("v")} as bv, p is not null and not {_SHORT.format("p")} as bp from ({_HITS}))
+select doc_id, canonical, case when bv then v end as value, p as value_prev, case when bv then 2 else 1 end as n_numbers, not bv as lost from s where bp and v is not null""")
 def g3_scan_fields(spark: SparkSession, d: str) -> DataFrame:
-    return scan.scan_fields(_statement_pages(spark, d, [F.col("m.value"), F.col("m.value_prev")])).select("doc_id", "canonical", "value", "value_prev", "n_numbers")
+    values = _statement_values(spark, d)
+    return scan.scan_fields(_statement_pages(values, [F.col("v"), F.col("p")])).select("doc_id", "canonical", "value", "value_prev", "n_numbers", F.col("year_column_failed_ocr").alias("lost"))
 
 
-@query(f"select doc_id, canonical, trunc(m[2])::double * 10 as value, trunc(m[3])::double * 10 as value_prev, trunc(m[2])::double * 30 as morselskap_value, trunc(m[3])::double * 40 as morselskap_value_prev, '4col' as layout from ({_HITS})".replace("m[2]", "struct_extract_at(m, 2)").replace("m[3]", "struct_extract_at(m, 3)"))
+@query(f"""
+with s as (select doc_id, canonical, list_filter([v * 30, p * 40, v * 10, p * 10], lambda x: x is not null and (x < 0 or x >= 10000)) as k from ({_HITS}))
+select doc_id, canonical, k[-2] as value, k[-1] as value_prev, case when len(k) = 4 then k[1] end as morselskap_value, case when len(k) = 4 then k[2] end as morselskap_value_prev, case when len(k) = 4 then '4col' else '2col_fallback' end as layout from s where len(k) >= 2""")
 def g6_scan_group_fields(spark: SparkSession, d: str) -> DataFrame:
-    v, p = F.col("m.value").cast("bigint"), F.col("m.value_prev").cast("bigint")
-    return scan.scan_group_fields(_statement_pages(spark, d, [v * 30, p * 40, v * 10, p * 10])).select("doc_id", "canonical", "value", "value_prev", "morselskap_value", "morselskap_value_prev", "layout")
+    v, p = F.col("v"), F.col("p")
+    pages_ = _statement_pages(_statement_values(spark, d), [v * 30, p * 40, v * 10, p * 10])
+    return scan.scan_group_fields(pages_).select("doc_id", "canonical", "value", "value_prev", "morselskap_value", "morselskap_value_prev", "layout")
 
 
 # ---- pages ----
@@ -277,8 +309,8 @@ def _dims(spark: SparkSession, d: str) -> DataFrame:
 with p as (select o_orderkey as doc_id, unnest(generate_series(1, 3 + o_orderkey % 6))::int as page from orders),
 dm as (select *, case when page <= doc_id % 4 then 1728 when (doc_id + page) % 5 = 0 then 1728 else 1653 end as w, case when (doc_id + page) % 7 = 0 then 2140 else 2339 end as h from p),
 b as (select *, coalesce(min(case when w <> 1728 then page end) over (partition by doc_id) - 1, max(page) over (partition by doc_id)) as last from dm)
-select doc_id, page, last as brreg_last, case when page <= last then 'registry' else 'company' end as source, page > last and w = 1728 as nested_wrapper,
-  case when page <= last then case when page = 1 then 'generell' when page = 2 then 'resultat' when page = 3 then 'balanse' when page = 4 and last >= 5 then 'balanse' when page = 5 and last >= 10 then 'balanse' else 'noter' end when h in (2140, 2337) then 'revisjonsberetning' end as page_type
+select doc_id, page, last as brreg_last, case when page <= last then 'brreg' else 'company' end as source, page > last and w = 1728 as nested_wrapper,
+  case when page <= last then case when page = 1 then 'generell_info' when page = 2 then 'resultatregnskap' when page = 3 then 'balanse' when page = 4 and last >= 5 then 'balanse' when page = 5 and last >= 10 then 'balanse' else 'noter' end when h in (2140, 2337) then 'revisjonsberetning' end as page_type
 from b""")
 def h3_typed_pages(spark: SparkSession, d: str) -> DataFrame:
     return pages.typed_pages(_dims(spark, d)).select("doc_id", "page", "brreg_last", "source", "nested_wrapper", "page_type")
@@ -290,50 +322,105 @@ _PROFILE = "select c_custkey as doc_id, 1 as page, unnest(generate_series(0, 400
 @query(f"""
 with p as (select *, case when (row * (doc_id % 5 + 1) + doc_id) % 120 < 45 then 200.0 when (row + doc_id) % 120 < 50 then 242.0 else 255.0 end as mean from ({_PROFILE})),
 i as (select *, case when row - lag(row) over (partition by doc_id order by row) - 1 > 40 then 1 else 0 end as j from p where mean < 245),
-b as (select *, sum(j) over (partition by doc_id order by row) as block from i)
-select doc_id, min(row) as y0, max(row) as y1, max(row) - min(row) as height from b group by doc_id, block having max(row) - min(row) >= 15""")
+b as (select *, sum(j) over (partition by doc_id order by row) as block from i),
+z as (select doc_id, block, min(row) as y0, case when 400 - max(row) <= 40 then 400 else max(row) end as y1 from b group by doc_id, block),
+n as (select z.doc_id, z.y0, z.y1, count(*) filter (p.row > z.y0 and p.row < z.y1 and p.mean < 240 and q.mean >= 240) as n_lines from z join p on p.doc_id = z.doc_id and p.row between z.y0 and z.y1 left join p q on q.doc_id = p.doc_id and q.row = p.row - 1 group by all)
+select doc_id, y0, y1, y1 - y0 as height, n_lines from n where y1 - y0 >= 15""")
 def h6_ink_blocks(spark: SparkSession, d: str) -> DataFrame:
     p = table(spark, d, "customer").select(F.col("c_custkey").alias("doc_id"), F.lit(1).alias("page"), F.explode(F.sequence(F.lit(0), F.lit(400))).alias("row"))
     mean = F.when((F.col("row") * (F.col("doc_id") % 5 + 1) + F.col("doc_id")) % 120 < 45, 200.0).when((F.col("row") + F.col("doc_id")) % 120 < 50, 242.0).otherwise(255.0)
-    return pages.ink_blocks(p.withColumn("mean", mean)).select("doc_id", "y0", "y1", "height")
+    return pages.ink_blocks(p.withColumn("mean", mean)).select("doc_id", "y0", "y1", "height", "n_lines")
 
 
-@query("""
+_DIMS = """
 with p as (select o_orderkey as doc_id, unnest(generate_series(1, 3 + o_orderkey % 6))::int as page from orders),
-t as (select doc_id, page, (doc_id + page) % 6 as g from p)
-select doc_id, coalesce(list_sort(list(page) filter (g >= 4)), []) as evidence, count(*) filter (g >= 4) >= 5 as detected from t group by doc_id""")
+dm as (select *, case when page <= doc_id % 4 then 1728 when (doc_id + page) % 5 = 0 then 1728 else 1653 end as w, case when (doc_id + page) % 7 = 0 then 2140 else 2339 end as h, (doc_id * 7 + page) % 6 as g from p),
+b as (select *, coalesce(min(case when w <> 1728 then page end) over (partition by doc_id) - 1, max(page) over (partition by doc_id)) as last from dm)"""
+
+
+def _page_zones(spark: SparkSession, d: str) -> DataFrame:
+    g = ((F.col("doc_id") * 7 + F.col("page")) % 6).cast("int")
+    return _dims(spark, d).select("doc_id", "page", F.lit(0).alias("y0"), F.lit(60).alias("y1"), F.when(g >= 2, "table").otherwise("text").alias("label"), F.lit(60).alias("height"), g.alias("n_col_gaps"), F.lit(1).alias("n_lines"))
+
+
+@query(_DIMS + """
+select doc_id, coalesce(list_sort(list(page) filter (page > last and g >= 4)), []) as evidence, count(*) filter (page > last and g >= 4) >= 5 as detected from b group by doc_id""")
 def h7_group_evidence(spark: SparkSession, d: str) -> DataFrame:
-    zones = _dims(spark, d).select("doc_id", "page", ((F.col("doc_id") + F.col("page")) % 6).alias("n_col_gaps"), F.lit("text").alias("label"))
-    return pages.group_evidence(pages.page_tables(zones))
+    found = pages.group_evidence(pages.classified_pages(_dims(spark, d), _page_zones(spark, d)))
+    return found.select("doc_id", F.transform("evidence", lambda e: e["page"]).alias("evidence"), "detected")
+
+
+@query(_DIMS + """
+select doc_id, page, case when page <= last then page > 1 when h in (2140, 2337) then false else g >= 2 end as has_table, g::int as max_col_gaps from b""")
+def h9_has_table(spark: SparkSession, d: str) -> DataFrame:
+    return pages.classified_pages(_dims(spark, d), _page_zones(spark, d)).select("doc_id", "page", "has_table", "max_col_gaps")
+
+
+@query(_DIMS + """
+, c as (select *, row_number() over (partition by doc_id order by page) as k, count(*) over (partition by doc_id) as m from b where page > last)
+select b.doc_id, max(last)::int as n_brreg, (count(*) - max(last))::int as n_company, count(*)::int as total_pages, coalesce(list_sort(list(b.page) filter (b.page > last and w = 1728)), []) as nested_wrapper_pages,
+  case when count(*) = max(last) then 'brreg_only' when count(*) - max(last) = 1 then 'single_page_company' when b.doc_id % 3 = 0 then 'visma_finale_b' when b.doc_id % 3 = 1 then 'no_image' else 'unknown_00ff00ff00ff00ff' end as platform,
+  count(*) filter (b.page > last and h = 2140) as n_audit_height, count(*) filter (b.page > last and g >= 4) >= 5 as detected
+from b group by b.doc_id""")
+def h1_manifest(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("doc_id") % 3
+    hashes = _dims(spark, d).where(k != 1).select("doc_id", "page", fingerprint.from_hex(F.when(k == 0, "ffff0000ffffffff").otherwise("00ff00ff00ff00ff")).alias("hash"))
+    files = table(spark, d, "orders").select(F.col("o_orderkey").alias("doc_id"), F.col("o_custkey").cast("string").alias("orgnr"), F.year("o_orderdate").alias("year"), F.lit(b"pdf").alias("content"))
+    made = pages.manifest(files, _dims(spark, d), _page_zones(spark, d), hashes)
+    audit = F.coalesce(F.size(F.try_element_at("company_height_groups", F.lit("2140"))).cast("bigint"), F.lit(0))
+    return made.select("doc_id", "split.n_brreg", "split.n_company", "document.total_pages", "split.nested_wrapper_pages", F.col("platform.id").alias("platform"), F.greatest(audit, F.lit(0)).alias("n_audit_height"), "konsern.detected")
 
 
 # ---- fingerprints ----
 
 
-@query("""
+_I2 = """
 select vec_id, case when h >= 9223372036854775808::hugeint then h - 18446744073709551616::hugeint else h end::bigint as hash
-from (select vec_id, list_sum(list_transform(embedding, lambda x, i: case when x::double > m then power(2::hugeint, 64 - i)::hugeint else 0::hugeint end))::hugeint as h from (select vec_id, embedding, list_sum(list_transform(embedding, lambda x: x::double)) / len(embedding) as m from embeddings))""".replace("power(2::hugeint, 64 - i)::hugeint", "(1::hugeint << (64 - i)::int)"))
+from (select vec_id, list_sum(list_transform(embedding, lambda x, i: case when x::double > m then power(2::hugeint, 64 - i)::hugeint else 0::hugeint end))::hugeint as h from (select vec_id, embedding, list_sum(list_transform(embedding, lambda x: x::double)) / len(embedding) as m from embeddings))""".replace("power(2::hugeint, 64 - i)::hugeint", "(1::hugeint << (64 - i)::int)")
+
+
+@query(_I2)
 def i2_average_hash(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "embeddings").select("vec_id", fingerprint.average_hash(F.col("embedding")).alias("hash"))
 
 
 @query("""
 select o_orderkey, case o_orderkey % 6 when 0 then 'visma_finale' when 1 then 'fiken_tripletex' when 2 then 'poweroffice' when 3 then 'conta' when 4 then '24sevenoffice' else 'unknown' end as leverandor,
-  case o_orderkey % 6 when 3 then 'medium' when 4 then 'medium' when 5 then 'none' else 'high' end as confidence from orders""")
+  case o_orderkey % 6 when 3 then 'medium' when 4 then 'medium' when 5 then 'none' else 'high' end as confidence, case o_orderkey % 6 when 1 then 'header_regex' when 5 then 'none' else 'footer_regex' end as match_type from orders""")
 def i5_supplier(spark: SparkSession, d: str) -> DataFrame:
     k = F.col("o_orderkey") % 6
     footer = F.when(k == 0, "Side 3").when(k == 2, "Powered by PowerOffice").when(k == 3, "www.conta.no").when(k == 4, "24SevenOffice").otherwise("")
-    return table(spark, d, "orders").select("o_orderkey", fingerprint.supplier(F.when(k == 1, "Noter 2023\nx"), footer).alias("s")).select("o_orderkey", "s.leverandor", "s.confidence")
+    return table(spark, d, "orders").select("o_orderkey", fingerprint.supplier(F.when(k == 1, "Noter 2023\nx"), footer).alias("s")).select("o_orderkey", "s.leverandor", "s.confidence", "s.match_type")
 
 
-@query()
+def _near_sql(column: str) -> str:
+    """SQL of the first platform within five bits."""
+    signed = lambda h: int(h, 16) - (1 << 64 if int(h, 16) >= 1 << 63 else 0)
+    return "case " + " ".join(f"when bit_count(xor({column}, ({signed(h)})::bigint)) <= 5 then '{name}'" for h, name in fingerprint.PLATFORMS) + f" else 'unknown_' || lpad(lower(to_hex({column})), 16, '0') end"
+
+
+_H5 = "select vec_id, case vec_id % 3 when 0 then hash when 1 then xor((-281474976710656)::bigint, (1::bigint << (vec_id % 7)::int) - 1) else xor((-1)::bigint, (1::bigint << (vec_id % 50)::int) - 1) end as hash from (" + _I2 + ")"
+
+
+@query(f"select vec_id, hash, {_near_sql('hash')} as platform from ({_H5})")
 def h5_platform(spark: SparkSession, d: str) -> DataFrame:
-    return fingerprint.platform(i2_average_hash(spark, d))
+    low = lambda n: F.expr(f"shiftleft(1L, cast(vec_id % {n} as int)) - 1")
+    k = F.col("vec_id") % 3
+    made = F.when(k == 0, F.col("hash")).when(k == 1, F.lit(-281474976710656).bitwiseXOR(low(7))).otherwise(F.lit(-1).cast("bigint").bitwiseXOR(low(50)))
+    return fingerprint.platform(i2_average_hash(spark, d).withColumn("hash", made.cast("bigint")))
 
 
-@query()
+_I8 = "select min(p_partkey) as ord, hash from (select p_partkey, xor((p_partkey % 13) * 1152921504606846, (p_partkey * 7) % 64)::bigint as hash from part) group by hash"
+
+
+@query(f"""
+with recursive h as (select hash, row_number() over (order by ord) as rn from ({_I8})),
+f as (select rn, hash, hash as cluster, [hash] as leaders from h where rn = 1
+  union all select h.rn, h.hash, coalesce(list_filter(f.leaders, lambda x: bit_count(xor(x, h.hash)) <= 5)[1], h.hash), case when len(list_filter(f.leaders, lambda x: bit_count(xor(x, h.hash)) <= 5)) = 0 then list_append(f.leaders, h.hash) else f.leaders end from f join h on h.rn = f.rn + 1)
+select hash, cluster from f""")
 def i8_leader_clusters(spark: SparkSession, d: str) -> DataFrame:
-    return fingerprint.leader_clusters(i2_average_hash(spark, d).withColumnRenamed("vec_id", "ord"), max_distance=20)
+    key = F.col("p_partkey")
+    return fingerprint.leader_clusters(table(spark, d, "part").select(key.alias("ord"), ((key % 13) * F.lit(1152921504606846)).bitwiseXOR((key * 7) % 64).cast("bigint").alias("hash")))
 
 
 @query("select c_custkey from customer order by md5(c_custkey || ':42'), c_custkey limit 200")
@@ -349,24 +436,32 @@ def i12_distribution(spark: SparkSession, d: str) -> DataFrame:
 # ---- reconciliation ----
 
 
-@query("""
-with e as (select doc_id, canonical as field, max(value) as v from field_hits where value is not null group by all),
-a as (select doc_id, field, max(try_cast(api as double)) as w from checks where try_cast(api as double) is not null group by all)
-select coalesce(e.doc_id, a.doc_id) as doc_id, coalesce(e.field, a.field) as field, case when w is null then 'api' when v is null then 'extracted' end as missing,
-  case when w is null then null when v is null then false else abs(v - w) <= greatest(abs(w) * 0.01, 1000) end as tolerance_ok, abs(v - w) as diff
-from e full outer join a on e.doc_id = a.doc_id and e.field = a.field""")
+_CHECKED = """
+e as (select doc_id, canonical as field, max(value) as v from field_hits where value is not null group by all),
+a as (select doc_id, field, max(api) as api from checks where api is not null group by all),
+c as (select coalesce(e.doc_id, a.doc_id) as doc_id, coalesce(e.field, a.field) as field, v, api, try_cast(api as double) as w from e full outer join a on e.doc_id = a.doc_id and e.field = a.field),
+k as (select *, case when api is null then 'api' when v is null then 'extracted' end as missing, case when api is null then null when v is null then false else coalesce(abs(v - w) <= greatest(abs(w) * 0.01, 1000), false) end as tolerance_ok, abs(v - w) as diff from c)"""
+
+
+@query(f"with {_CHECKED} select doc_id, field, missing, tolerance_ok, diff, 'pct1' as tolerance_class from k")
 def j2_validate(spark: SparkSession, d: str) -> DataFrame:
-    return _validated(spark, d).select("doc_id", "field", "missing", "tolerance_ok", "diff")
+    return _validated(spark, d).select("doc_id", "field", "missing", "tolerance_ok", "diff", "tolerance_class")
+
+
+def _registry(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "checks").where("api is not null").groupBy("doc_id", "field").agg(F.max("api").alias("value"))
 
 
 def _validated(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "field_hits").where("value is not null").groupBy("doc_id", F.col("canonical").alias("field")).agg(F.max("value").alias("value"))
-    number = F.col("api").try_cast("double")
-    a = table(spark, d, "checks").where(number.isNotNull()).groupBy("doc_id", "field").agg(F.max(number).alias("value"))
-    return reconcile.validate(e, a, field_spec(spark))
+    return reconcile.validate(e, _registry(spark, d), field_spec(spark))
 
 
-@query()
+_SUMMARY = f"""select k.doc_id, count(*) filter (missing is null and tolerance_ok) as n_pass, count(*) filter (missing is null and not tolerance_ok) as n_fail, count(*) filter (missing = 'extracted') as n_missing_extract, count(*) filter (missing = 'api') as n_missing_api,
+  coalesce(list(k.field order by s.ord) filter ((missing is null and not tolerance_ok) or missing = 'extracted'), []) as disagreements from k join (values {_LABELS}) s(field, label, ord) on s.field = k.field group by k.doc_id"""
+
+
+@query(f"with {_CHECKED} {_SUMMARY}")
 def j2_summary(spark: SparkSession, d: str) -> DataFrame:
     return reconcile.validation_summary(_validated(spark, d))
 
@@ -401,17 +496,32 @@ def j5_vote(spark: SparkSession, d: str) -> DataFrame:
     return reconcile.vote(spark.sql(_VOTES.replace("from lineitem", "from _votes_lineitem")))
 
 
-@query()
-def j9_digit_clusters(spark: SparkSession, d: str) -> DataFrame:
-    return reconcile.digit_clusters(_words(spark, d))
+@query("select o_orderkey as doc_id, floor(o_totalprice)::bigint as value, case when o_orderkey % 3 = 0 then 'med' else 'high' end as confidence from orders")
+def j9_walked_values(spark: SparkSession, d: str) -> DataFrame:
+    """A line of each order: label, value, and last year's value unless the key is a multiple of three."""
+    groups = lambda v, at: F.transform(F.split(F.format_number(v, 0), ","), lambda t, i: F.struct((i * 45 + at).cast("int").alias("left"), t.alias("text")))
+    label = F.array(F.struct(F.lit(0).alias("left"), F.lit("Sum").alias("text")), F.struct(F.lit(50).alias("left"), F.lit("ordre").alias("text")))
+    last = F.when(F.col("o_orderkey") % 3 == 0, F.array().cast("array<struct<left:int,text:string>>")).otherwise(groups(F.col("o_custkey") + 1000, 900))
+    words = table(spark, d, "orders").select(F.col("o_orderkey").alias("doc_id"), F.posexplode(F.concat(label, groups(F.floor("o_totalprice"), 500), last)).alias("word_id", "w"))
+    words = words.select("doc_id", F.lit(1).alias("page_no"), *(F.lit(1).alias(c) for c in ("block_id", "par_id", "line_id")), "word_id", "w.left", F.lit(10).alias("top"), F.lit(40).alias("width"), F.lit(10).alias("height"), F.lit(0.9).alias("conf"), "w.text")
+    labels = table(spark, d, "orders").select(F.col("o_orderkey").alias("doc_id"), F.lit(1).alias("page_no"), F.lit("f").alias("field"), F.lit("Sum ordre").alias("label"))
+    return reconcile.walked_values(words, labels).select("doc_id", "value", "confidence")
 
 
-@query()
+_NEAR_V1 = "abs(trunc(w) - v) <= greatest(abs(v) * 0.01, 1000)"
+
+
+@query(f"""
+with {_CHECKED}, r as (select doc_id, field, v, trunc(w) as w from k where missing is null and not tolerance_ok and w is not null)
+select h.doc_id, h.canonical, case when r.doc_id is not null and not {_NEAR_V1} then r.w else h.value end as value, case when r.doc_id is null then null when {_NEAR_V1} then v else r.w end as reconciled_value,
+  case when r.doc_id is null then null when {_NEAR_V1} then 'api_disagrees_with_pdf' else 'ocr_misread_corrected' end as diagnosis
+from (select doc_id, canonical, max(value) as value from field_hits group by all) h left join r on r.doc_id = h.doc_id and r.field = h.canonical""")
 def j10_corrections(spark: SparkSession, d: str) -> DataFrame:
-    hits = table(spark, d, "field_hits").groupBy("doc_id", "canonical").agg(F.max("value").alias("value"))
-    votes = _validated(spark, d).where("missing is null and not tolerance_ok").select("doc_id", "field", F.col("extracted").cast("double").alias("v1_value"), F.col("api").cast("double").alias("api_value"), F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("strategy_ord"))
-    votes = votes.withColumn("value", F.when((F.col("doc_id") + F.col("strategy_ord")) % 3 > 0, F.col("api_value")).otherwise(F.col("v1_value")))
-    return reconcile.apply_corrections(hits, cut(reconcile.vote(votes)), limit=None)
+    """Every disagreement is read again three times: twice as the registry has it, once as before."""
+    hits = table(spark, d, "field_hits").groupBy("doc_id", "canonical").agg(F.max("value").alias("value"), F.lit(0).alias("page_idx"), F.lit("x").alias("label_matched"))
+    asked = cut(reconcile.disagreements(_validated(spark, d), hits, limit=None))
+    readings = [asked.select("doc_id", "field", F.when((F.col("doc_id") + i) % 3 > 0, F.col("api_value")).otherwise(F.col("v1_value")).alias("value")) for i in range(3)]
+    return reconcile.apply_corrections(hits, reconcile.deep_dive(asked, readings)).select("doc_id", "canonical", "value", "reconciled_value", "diagnosis")
 
 
 # ---- runs ----
@@ -423,9 +533,12 @@ def k1_pending(spark: SparkSession, d: str) -> DataFrame:
     return runs.pending(table(spark, d, "orders").select("o_orderkey"), done, ["o_orderkey"])
 
 
-@query("select count(*) as n_total, count(*) filter (status = 'ok') as n_ok, count(*) filter (status in ('skipped_legacy_format', 'skipped_exists')) as n_skipped, count(*) filter (status not in ('ok', 'skipped_legacy_format', 'skipped_exists')) as n_failed from records")
+_STATUS = "case doc_id % 9 when 0 then 'already_exists' when 1 then 'skipped_legacy' when 2 then 'no_pdf' when 3 then 'no_nokkeltall' when 4 then 'error' when 5 then 'uncaught' else status end"
+
+
+@query(f"select count(*) as n_processed, count(*) filter (s = 'ok') as ok, count(*) filter (s = 'already_exists') as already_exists, count(*) filter (s = 'skipped_legacy') as skipped_legacy, count(*) filter (s = 'no_pdf') as no_pdf, count(*) filter (s = 'no_nokkeltall') as no_nokkeltall, count(*) filter (s in ('error', 'uncaught')) as error from (select {_STATUS} as s from records)")
 def k3_progress(spark: SparkSession, d: str) -> DataFrame:
-    return runs.progress(table(spark, d, "records"))
+    return runs.progress(table(spark, d, "records").select(F.expr(_STATUS).alias("status")))
 
 
 @query("select setup, count(*) as n from records where status = 'ok' group by setup")
@@ -451,7 +564,7 @@ def k6_field_rates(spark: SparkSession, d: str) -> DataFrame:
     return runs.field_rates(table(spark, d, "checks"))
 
 
-@query()
+@query(f"select diagnosis, count(*) as n, count(*) filter (diagnosis = 'ocr_misread_corrected') as n_resolved from ({ORACLE['j5_vote']}) group by diagnosis")
 def k7_diagnosis_counts(spark: SparkSession, d: str) -> DataFrame:
     return runs.diagnosis_counts(j5_vote(spark, d))
 
@@ -478,10 +591,55 @@ def k12_notes_flow(spark: SparkSession, d: str) -> DataFrame:
     return values.select("doc_id", "nr", "amount_key", (F.col("value") * F.col("scale")).alias("amount"))
 
 
-@query()
+@query("""
+with n as (select distinct doc_id, nr, tittel, raw_text from noter where raw_text is not null)
+select n.doc_id, count(*)::int as n_pages_sent, count(distinct nr)::int as n_notes, 'ok' as status, 0.0::double as cost_usd, max(r.orgnr) as orgnr from n left join (select doc_id, max(orgnr) as orgnr from records group by doc_id) r on r.doc_id = n.doc_id group by n.doc_id""")
+def k12_payload(spark: SparkSession, d: str) -> DataFrame:
+    """Pages to the nested payload of a document's notes."""
+    texts = cut(_note_pages(spark, d))
+    found = cut(notes.segment(texts))
+    values = kv.key_values(kv.facts(found)).groupBy("doc_id", "nr").agg(F.map_from_entries(F.collect_list(F.struct("amount_key", "value"))).alias("raw_amounts"))
+    full = notes.enrich(found.join(values, ["doc_id", "nr"], "left").withColumn("raw_amounts", F.coalesce("raw_amounts", F.create_map().cast("map<string,double>"))), head=None)
+    files = table(spark, d, "records").groupBy("doc_id").agg(F.max("orgnr").alias("orgnr"), F.max("year").alias("year"), F.max("pdf_sha256_prefix").alias("pdf_hash"))
+    made = flow.notes_payload(full, texts, files, {"prompt_name": "boxes", "input_mode": "text"})
+    return made.select("doc_id", F.col("n_pages_sent").cast("int").alias("n_pages_sent"), "n_notes", "status", "cost_usd", "orgnr")
+
+
+_TOL = "greatest(abs({0}) * 0.01, 1000)"
+
+
+@query(f"""
+with h as ({_HITS}), f as (select h.doc_id, h.canonical as field, s.label, v, p, h.doc_id % 4 = 1 as grp from h join (values {_LABELS}) s(field, label, ord) on s.field = h.canonical where h.doc_id % 10 <> 0),
+l as (select *, label || chr(9) || array_to_string(list_transform(case when grp then [v * 30, p * 40, v, p] else [v, p] end, lambda x: coalesce(cast(x::bigint as varchar), '')), chr(9)) as line, case when grp then [v * 30, p * 40, v, p] else [v, p] end as cells from f),
+m as (select *, list_filter(cells, lambda x: x is not null and (x < 0 or x >= 10000)) as big from l),
+e as (select doc_id, field, case when grp then big[-2] when not {_SHORT.format("v")} then v end as v from m where case when grp then len(big) >= 2 else p is not null and not {_SHORT.format("p")} and v is not null end),
+a as (select doc_id, field, max(api) as api from checks where api is not null and doc_id % 10 <> 0 and doc_id in (select doc_id from field_hits) group by all),
+ev as (select * from e where v is not null),
+c as (select coalesce(ev.doc_id, a.doc_id) as doc_id, coalesce(ev.field, a.field) as field, v, api, try_cast(api as double) as w from ev full outer join a on ev.doc_id = a.doc_id and ev.field = a.field),
+k as (select *, case when api is null then 'api' when v is null then 'extracted' end as missing, case when api is null then null when v is null then false else coalesce(abs(v - w) <= {_TOL.format("w")}, false) end as tolerance_ok from c),
+sm as ({_SUMMARY}),
+q as (select k.doc_id, k.field, k.v, trunc(w) as w, s.label from k join (values {_LABELS}) s(field, label, ord) on s.field = k.field where ((missing is null and not tolerance_ok) or missing = 'extracted') and w is not null),
+o as (select q.doc_id, q.field, min(struct_pack(line := m.line, big := m.big)) as first from q join m on m.doc_id = q.doc_id and starts_with(lower(m.line), lower(q.label)) and regexp_matches(substr(m.line, length(q.label) + 1), '^($|[\\t :.,0-9-])') group by all),
+r as (select q.*, case when len(first.big) >= 2 then trunc(first.big[-2]) else trunc(first.big[1]) end as again, q.doc_id % 2 = 0 as even from q left join o on o.doc_id = q.doc_id and o.field = q.field),
+t as (select *, (coalesce(abs(again - w) <= {_TOL.format("w")}, false))::int + (case when even then 2 else 0 end) as na, coalesce((abs(again - v) <= {_TOL.format("v")})::int, 0) + coalesce((case when even and abs(w - v) <= {_TOL.format("v")} then 2 else 0 end), 0) as nt from r),
+g as (select *, case when (na >= 2 and na > nt) or (na = nt and na > 0) then w when nt >= 2 and nt > na then v when even then w else again end as x from t),
+n as (select g.doc_id, count(*) filter (abs(x - try_cast(a.api as double)) <= {_TOL.format("try_cast(a.api as double)")}) as n_recovered from g join a on a.doc_id = g.doc_id and a.field = g.field where x is not null group by g.doc_id),
+d as (select distinct doc_id from field_hits where doc_id is not null)
+select d.doc_id, case when d.doc_id % 10 = 0 then 'skipped_legacy_format' else 'ok' end as status, case when d.doc_id % 10 = 0 then null else coalesce((case d.doc_id % 3 when 0 then 'smaa' when 1 then 'store' else case when d.doc_id % 4 = 1 then 'store' end end) || (case when d.doc_id % 4 = 1 then '_konsern' else '_selskap' end), 'unknown') end as setup,
+  case when d.doc_id % 10 = 0 then 0 else 2 end as n_brreg, case when d.doc_id % 10 = 0 then 3 else 1 end as n_company, case when d.doc_id % 10 <> 0 then coalesce(n_pass, 0) end as n_pass, case when d.doc_id % 10 <> 0 then coalesce(n_fail, 0) end as n_fail,
+  case when d.doc_id % 10 <> 0 then coalesce(n_missing_extract, 0) end as n_missing_extract, case when d.doc_id % 10 <> 0 then coalesce(n_missing_api, 0) end as n_missing_api, case when d.doc_id % 10 <> 0 then coalesce(disagreements, []) end as disagreements, case when d.doc_id % 10 <> 0 then coalesce(n_recovered, 0) end as n_recovered
+from d left join sm on sm.doc_id = d.doc_id left join n on n.doc_id = d.doc_id""")
 def k13_statement_flow(spark: SparkSession, d: str) -> DataFrame:
-    """Statement pages to fields to checks, end to end."""
-    hits = scan.scan_fields(_statement_pages(spark, d, [F.col("m.value"), F.col("m.value_prev")]))
-    number = F.col("api").try_cast("double")
-    api = table(spark, d, "checks").where(number.isNotNull()).groupBy("doc_id", "field").agg(F.max(number).alias("value"))
-    return reconcile.validation_summary(reconcile.validate(hits.select("doc_id", F.col("canonical").alias("field"), "value"), api, field_spec(spark)))
+    """Page sizes, first pages and statement pages of every filing to checked values. Filings divisible by ten have no registry pages; of the others a quarter are groups."""
+    values = _statement_values(spark, d)
+    docs = table(spark, d, "field_hits").where("doc_id is not null").select("doc_id").distinct()
+    k = lambda n: F.col("doc_id") % n
+    dims = docs.select("doc_id", F.explode(F.sequence(F.lit(1), F.lit(3))).alias("page")).select("doc_id", "page", F.when((F.col("page") < 3) & (k(10) != 0), 1728).otherwise(1653).alias("img_w"), F.lit(2339).alias("img_h"))
+    said = F.concat_ws("\n", F.when(k(3) == 0, "Regler for små foretak benyttet: Ja").when(k(3) == 1, "Regler for små foretak benyttet: Nei"), F.when(k(4) == 1, "Morselskap i konsern: Ja").otherwise("Morselskap i konsern: Nei"))
+    first = docs.select("doc_id", F.lit(1).alias("page_no"), said.alias("text"))
+    v, p = F.col("v"), F.col("p")
+    group = k(4) == 1
+    rest = _statement_pages(values.where(group), [v * 30, p * 40, v, p], 2).unionByName(_statement_pages(values.where(~group), [v, p], 2))
+    api = _registry(spark, d).join(docs, "doc_id", "left_semi")
+    even = api.where(k(2) == 0).select("doc_id", "field", F.col("value").try_cast("double").cast("bigint").alias("value"))
+    return flow.statement_flow(dims, first.unionByName(rest), api, field_spec(spark), [even, even])

@@ -8,6 +8,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fjordfacts.functions.text import strip
+
 #: Reads a batch of pages (doc_id, page_no, content) into (doc_id, page_no, text).
 OcrBackend = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
@@ -30,10 +32,20 @@ def page_count(info: F.Column) -> F.Column:
     return F.coalesce(F.regexp_extract(info, r"(?m)^Pages:\s*(\d+)", 1).try_cast("int"), F.lit(0))
 
 
+def unquoted(c: F.Column) -> F.Column:
+    """A field of quoted text as a reader with '"' as quote character takes it: outer quotes go, doubled ones inside count once. Fields that aren't quoted stay as they are."""
+    inner = F.replace(F.regexp_extract(c, '^"(.*)"$', 1), F.lit('""'), F.lit('"'))
+    return F.when(c.rlike('^".*"$'), inner).otherwise(c)
+
+
 def decode_tsv(rows: DataFrame, column: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
-    """Word boxes from lines of recognition TSV: level 5, text not blank, all numbers whole; anything else is dropped. No filter on confidence."""
+    """Word boxes from lines of recognition TSV: level 5, text not blank, all numbers whole; anything else is dropped. No filter on confidence.
+
+    One row is one line of the file: a quote that is opened and not closed takes in the rest of its own field only, never the next line.
+    """
     cells = F.split(F.col(column), "\t")
-    df = rows.select(*keep, *(F.get(cells, F.lit(i)).try_cast("int").alias(n) for i, n in enumerate(_BOX)), F.get(cells, F.lit(10)).try_cast("double").alias("conf"), F.trim(F.regexp_replace(F.get(cells, F.lit(11)), '^"|"$', "")).alias("text"))
+    text = F.regexp_replace(unquoted(F.get(cells, F.lit(11))), '^"', "")
+    df = rows.select(*keep, *(F.get(cells, F.lit(i)).try_cast("int").alias(n) for i, n in enumerate(_BOX)), F.get(cells, F.lit(10)).try_cast("double").alias("conf"), strip(text).alias("text"))
     good = F.col("level") == 5
     for n in _BOX:
         good = good & F.col(n).isNotNull()

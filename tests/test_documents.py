@@ -1,5 +1,8 @@
 """Hand-traced goldens of layout, notes, tables, first page, statement scan, pages, fingerprints and reconciliation."""
 
+import random
+
+import numpy as np
 from pyspark.sql import functions as F
 
 from fjordfacts.operators import fingerprint, kv, layout, metadata, notes, pages, reconcile, runs, scan
@@ -67,18 +70,49 @@ def test_scan_fields(spark):
 def test_pages(spark):
     dims = spark.createDataFrame([(1, 1, 1728, 10), (1, 2, 1728, 10), (1, 3, 1653, 2140), (1, 4, 1728, 10)], "doc_id long, page int, img_w int, img_h int")
     got = {r.page: r for r in pages.typed_pages(dims).collect()}
-    assert got[1].brreg_last == 2 and got[4].nested_wrapper and not got[3].nested_wrapper and got[3].page_type == "revisjonsberetning" and got[2].page_type == "resultat"
+    assert got[1].brreg_last == 2 and got[4].nested_wrapper and not got[3].nested_wrapper and got[3].page_type == "revisjonsberetning" and got[2].page_type == "resultatregnskap"
     ink = [(1, 1, r, 200.0 if r < 20 or 70 <= r < 90 or 100 <= r < 105 else 255.0) for r in range(120)]
     blocks = sorted((r.y0, r.y1, r.n_lines) for r in pages.ink_blocks(spark.createDataFrame(ink, "doc_id long, page int, row int, mean double")).collect())
-    assert blocks == [(0, 19, 0), (70, 104, 1)]
+    assert blocks == [(0, 19, 0), (70, 119, 1)]
 
 
 def test_fingerprints(spark):
     one = spark.createDataFrame([("ffff1c9fffffffff",), (None,)], "h string").select(fingerprint.from_hex(F.col("h")).alias("hash"))
     assert [r.platform for r in fingerprint.platform(one).collect()] == ["visma_finale_a", "no_image"]
     rows = spark.createDataFrame([(0x0, 1), (0x1F, 2), (0x3F, 3), (0x3F, 4)], "hash long, ord long")
-    for block in (1, 2, 100):
-        assert {r.hash: r.cluster for r in fingerprint.leader_clusters(rows, 5, block=block).collect()} == {0: 0, 0x1F: 0, 0x3F: 0x3F}
+    assert {r.hash: r.cluster for r in fingerprint.leader_clusters(rows, 5).collect()} == {0: 0, 0x1F: 0, 0x3F: 0x3F}
+    assert fingerprint.leader_clusters(rows.limit(0)).count() == 0
+
+
+def test_leader_clusters_equal_the_fold(spark):
+    r = random.Random(3)
+    centres = [r.getrandbits(64) for _ in range(6)]
+    hashes = []
+    for _ in range(400):
+        h = r.choice(centres)
+        for _ in range(r.randrange(9)):
+            h ^= 1 << r.randrange(64)
+        hashes.append(h - (1 << 64) if h >= 1 << 63 else h)
+    leaders, want = [], {}
+    for h in hashes:
+        if h not in want:
+            want[h] = next((x for x in leaders if bin((x ^ h) & (1 << 64) - 1).count("1") <= 5), h)
+            if want[h] == h:
+                leaders.append(h)
+    df = spark.createDataFrame(list(enumerate(hashes)), "ord long, hash long").selectExpr("*", "1 as a", "2 as cluster")
+    assert {x.hash: x.cluster for x in fingerprint.leader_clusters(df).collect()} == want
+
+
+def test_perceptual_hash(spark):
+    rng = np.random.default_rng(0)
+    raster = rng.integers(0, 255, (32, 32)).astype(float)
+    k, x = np.arange(32)[:, None], np.arange(32)[None, :]
+    basis = 2 * np.cos(np.pi * k * (2 * x + 1) / 64)
+    low = (basis @ raster @ basis.T)[:8, :8].ravel()
+    bits = "".join("1" if v > np.median(low) else "0" for v in low)
+    df = spark.createDataFrame([(1, [float(v) for v in raster.ravel()]), (2, [1.0]), (3, None)], "n int, v array<double>")
+    got = {r.n: r.h for r in fingerprint.perceptual_hash(df, "v").select("n", fingerprint.to_hex(F.col("phash")).alias("h")).collect()}
+    assert got == {1: f"{int(bits, 2):016x}", 2: None, 3: None}
 
 
 def test_reconcile(spark):
@@ -128,3 +162,34 @@ def test_flows_take_whole_notes_and_all_disagreements(spark, tmp_path):
     spark.createDataFrame([(1, n, 1e6) for n in names], "doc_id long, canonical string, value double").write.parquet(f"{tmp_path}/field_hits.parquet")
     spark.createDataFrame([(1, n, "5000000") for n in names], "doc_id long, field string, api string").write.parquet(f"{tmp_path}/checks.parquet")
     assert [r.reconciled_value for r in reference.j10_corrections(spark, str(tmp_path)).collect()] == [5e6] * 9
+
+
+def test_disagreements_are_the_first_in_field_order_then_those_with_values(spark):
+    names = [f[1] for f in FIELDS if f[3] != "generell"]
+    hits = spark.createDataFrame([(1, n, 1e6 if i % 2 else None, i, "L") for i, n in enumerate(names)], "doc_id long, canonical string, value double, page_idx int, label_matched string")
+    api = spark.createDataFrame([(1, n, "5000000") for n in names] + [(2, names[0], "7")], "doc_id long, field string, value string")
+    checks = reconcile.validate(hits.select("doc_id", F.col("canonical").alias("field"), "value"), api, field_spec(spark)).withColumn("first_label", F.lit("F"))
+    assert [r.field for r in reconcile.disagreements(checks, hits).orderBy("field_ord").collect()] == names[1:6:2]
+    everything = {(r.doc_id, r.field): (r.page_idx, r.label) for r in reconcile.disagreements(checks, hits, limit=None, missing=True).collect()}
+    assert len(everything) == 20 and everything[(2, names[0])] == (1, "F") and everything[(1, names[2])] == (3, "L")
+
+
+def test_report(spark):
+    rows = lambda schema, *r: spark.createDataFrame(list(r), schema)
+    text = runs.report(
+        "Run", rows("status string, n long", ("ok", 3), ("no_pdf", 1)), rows("setup string, n long", ("smaa_selskap", 3)), rows("field string, n_pass long, n_fail long, n_missing long, pass_pct double", ("a", 3, 1, 0, 75.0)),
+        rows("diagnosis string, n long, n_resolved long", ("ocr_misread_corrected", 2, 2)), rows("mean_elapsed double", (1.25,)), rows("doc_id long, field string", (1, "a")),
+    )
+    assert "| Pass rate | 75.0% |" in text and "Attempted 2, resolved 2" in text and "| a | 3 | 1 | 0 | 75 |" in text and "| Mean seconds | 1.2 |" in text and "## Suspects" in text
+    table = runs.per_filing(rows("doc_id long, status string", (1, "ok"), (2, "no_pdf")), rows("doc_id long, n_pass int, disagreements array<string>", (1, 2, ["a", "b"])), rows("doc_id long, diagnosis string", (1, "ocr_misread_corrected")))
+    assert {r.doc_id: (r.disagreements, r.n_corrections_resolved) for r in table.collect()} == {1: ("a,b", 1), 2: ("", None)}
+
+
+def test_statement_flow_survives_empty_tables(spark):
+    from fjordfacts.operators import flow
+
+    dims = spark.createDataFrame([(1, 1, 1653, 10), (2, 1, 1728, 10)], "doc_id long, page int, img_w int, img_h int")
+    texts = spark.createDataFrame([], "doc_id long, page_no int, text string")
+    api = spark.createDataFrame([(2, "sum_gjeld", "5")], "doc_id long, field string, value string")
+    got = {r.doc_id: (r.status, r.setup, r.n_missing_extract) for r in flow.statement_flow(dims, texts, api, field_spec(spark)).collect()}
+    assert got == {1: ("skipped_legacy_format", None, None), 2: ("ok", "unknown", 1)}

@@ -5,6 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from fjordfacts.plans import cases
 
 SF = "/root/testdata/sf0.001"
 
@@ -15,7 +16,7 @@ def test_names():
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables here")
-@pytest.mark.parametrize("name", ["p3_found", "p6_found", "f8_setup", "j2_validate", "k6_field_rates"])
+@pytest.mark.parametrize("name", ["p3_found", "p6_found", "f1_all_fields", "f8_setup", "h1_manifest", "j2_summary", "k6_field_rates", "k13_statement_flow", *cases.QUERIES])
 def test_against_sql(spark, name):
     import duckdb
 
