@@ -6,12 +6,13 @@
 3. Words that are not, are looked up in tries of the vocabulary. The automaton of the word (all
    strings within a number of edits, where taking one character for its look-alike or two for one
    is a single edit) walks the trie, so every candidate is retrieved. Tries hold one length of
-   words and one salt each; a word is sent to the tries of all lengths it can reach, so nothing
-   that grows with the data is broadcast.
-4. A word is misread if a candidate is far more frequent and every edit between them is a look-alike,
+   words and one salt each, and so do the words sent to them: no task gets more than TRIE_WORDS of
+   either, and nothing that grows with the data is broadcast.
+4. A word is misread if it has a candidate that is far more frequent and every edit between them is a look-alike,
    takes a letter foreign to the language, or is a confusion learnt from the corpus: one that parts
    many rare words from frequent ones, but hardly any frequent words from each other and hardly ever
-   the other way round, as endings and names do. Or if the word mixes letters with foreign signs.
+   the other way round, as endings and names do. A word with signs in it that has no candidate is taken for a code.
+   Numbers have no vocabulary: letters among digits that a scan takes for digits make them misread.
    Candidates rank by edits, look-alikes first, agreement with the word before, and frequency.
 5. `repaired` drops furniture, joins the halves, replaces misread words and reflows the lines into
    paragraphs; table rows stay lines.
@@ -26,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fjordfacts.session import cut, sized_broadcast, tasks
+from fjordfacts.session import cores, cut, sized_broadcast, tasks
 
 # What scans take for one another.
 ALIKE = (
@@ -41,7 +42,7 @@ RATIO, LEAST = 10, 5
 LEARNT, AGAINST = 5, 10
 #: Letters of Norwegian words; all others are foreign.
 LETTERS = "a-zæøåéèêóòôü"
-#: Vocabulary words of one trie.
+#: Vocabulary words of one trie, and words that walk it in one task.
 TRIE_WORDS = 20_000
 HYPHENS = "-‐‑­¬"
 #: Signs that belong to a word wherever they touch it, and those that do between two letters only; no word has either.
@@ -52,16 +53,16 @@ _D = r"[0-9OoIl|SsBZbgq]"
 _FURNITURE = re.compile(
     rf"(?:side|s\.|page|p\.)\s*{_D}{{1,4}}(?:\s*(?:av|of|/)\s*{_D}{{1,4}})?"
     rf"|[-–—]\s*{_D}{{1,4}}\s*[-–—]|\[\s*{_D}{{1,4}}\s*\]|{_D}{{1,3}}\s*/\s*{_D}{{1,3}}"
-    r"|(?:.{1,60}\s)?noter\s+tii\s+(?:års)?regnskapet(?:\s+for)?(?:\s+\S{4})?"
-    rf"|.{{1,60}}\s[–—-]\s*(?:års)?regnskap\s+\S{{4}}(?:\s+side\s+{_D}{{1,4}})?"
+    r"|(?:[^,;:!?]+\s)?noter\s+tii\s+(?:års)?regnskapet(?:\s+for)?(?:\s+\S{4})?"
+    rf"|[^,;:!?]+\s[–—-]\s*(?:års)?regnskap\s+\S{{4}}(?:\s+side\s+{_D}{{1,4}})?"
     r"|konvoiutt-?\s?id:?\s*\S+|signert\s+eiektronisk.*|dokumentnøkkei.*|(?:penneo|docusign)\b.*"
-    r"|utskrift(?:sdato)?:?\s+\S{8,10}(?:\s+\S+)?|(?:skrevet\s+ut|printed)\b.{0,30}",
+    r"|utskrift(?:sdato)?:?\s+\S{8,10}(?:\s+\S+)?|(?:skrevet\s+ut|printed)\b[^.!?]*",
     re.I,
 )
 #: What a line of furniture shows at first sight; all others aren't looked at more closely.
 _HINT = re.compile(r"[\W\dOIl|SBZ]{1,14}$|s[il1|][dc][ec€]|s\.|p\.|page|konvo|signert|dokument|penneo|docusign|utskrift|skrevet|printed|org|.*regnskap", re.I)
 _ORG_LINE = re.compile(r"org\.?\s?nr\.?:?\s*[\dOoIl|SsBZ][\dOoIl|SsBZ  .]{7,12}(?:\s+\S.*)?", re.I)
-_CAPS_NAME = re.compile(r"[A-ZÆØÅ0-9|€†][A-ZÆØÅ0-9|€†.&'  -]{3,60}\s(?:A[S5]|ASA|ANS|DA|SA|BA|NUF)", re.ASCII)
+_CAPS_NAME = re.compile(r"[A-ZÆØÅ0-9|€†][A-ZÆØÅ0-9|€†.&'  -]{3,}\s(?:A[S5]|ASA|ANS|DA|SA|BA|NUF)", re.ASCII)
 _BARE = re.compile(rf"{_D}{{1,3}}")
 _LABEL = re.compile(r"[A-ZÆØÅ][^\W\d_]*(?: [^\W\d_]+){0,5}")
 _ENDING = MARKS.replace("!", "")
@@ -76,6 +77,9 @@ _CELL_NUMBER = re.compile(r"[-−(]?\s?[0-9OoIl|SsBZzGgbqA][0-9OoIl|SsBZzGgbqA 
 _TRIPLE = re.compile(r"(?<![\w,.])[0-9OoIl|SsBZG]{1,3}(?:[    .][0-9OoIl|SsBZG]{3})+(?:,[0-9OoIl|SsBZG]+)?(?!\w)")
 _DECIMAL = re.compile(r"(?<![\w,.])[0-9OoIl|SsBZG]+,[0-9OoIl|SsBZG]+(?!\w)")
 _LETTER_IN = re.compile(r"[A-Za-z|]")
+#: A digit next to a letter that a scan takes for one: what every misread number has.
+_MIXED = re.compile(r"\d[ \u00a0.,]?[OoIl|SsBZzGgbqA]|[OoIl|SsBZzGgbqA][ \u00a0.,]?\d")
+_CUT = re.compile(rf"([^\W_][\w{MARKS.replace('!', '')}]*)$")
 
 
 def is_furniture(lines: list[str], name: str | None = None) -> list[bool]:
@@ -83,22 +87,26 @@ def is_furniture(lines: list[str], name: str | None = None) -> list[bool]:
     out, label = [], False
     for raw in lines:
         line = raw.strip()
-        folded = line.translate(_FOLD).replace("\t", " ")
         hit = False
         if line:
-            if _BARE.fullmatch(line) and any(c.isdigit() for c in line) and "\t" not in raw:
+            tab = "\t" in raw
+            if len(line) <= 3 and not tab and _BARE.fullmatch(line) and any(c.isdigit() for c in line):
                 hit = not label
             else:
-                hit = len(line) <= 110 and _HINT.match(line) is not None and bool(_FURNITURE.fullmatch(folded) or _FURNITURE.fullmatch(line.replace("\t", " ")) or _ORG_LINE.fullmatch(line.replace("\t", " ")))
-                hit = hit or bool((len(line) < 70 and line[:2].isupper() and _CAPS_NAME.fullmatch(line) and "\t" not in raw) or (name and line.casefold() == name.casefold()))
+                if _HINT.match(line):
+                    flat = line.replace("\t", " ") if tab else line
+                    hit = bool(_FURNITURE.fullmatch(flat.translate(_FOLD)) or _FURNITURE.fullmatch(flat) or _ORG_LINE.fullmatch(flat))
+                hit = hit or bool((not tab and line[:2].isupper() and _CAPS_NAME.fullmatch(line)) or (name and line.casefold() == name.casefold()))
             if not hit:
-                label = bool(_LABEL.fullmatch(line)) and "\t" not in raw
+                label = not tab and _LABEL.fullmatch(line) is not None
         out.append(hit)
     return out
 
 
 def _numbers_misread(line: str) -> bool:
     """A number with a letter in it: a table cell that is else a number, or a grouped or decimal number of running text."""
+    if not _MIXED.search(line):
+        return False
     if "\t" in line:
         for cell in line.split("\t")[1:]:
             cell = cell.strip()
@@ -136,7 +144,7 @@ def read_page(text: str, name: str | None = None) -> list[tuple[int, str, list[s
         if moved and words is not None:
             words = [moved, *words]
         carried = moved = None
-        if end[-1] in HYPHENS and len(end) > 1 and (m := re.search(rf"([^\W_][\w{_ENDING}]*)$", end[:-1])) and after is not None and "\t" not in lines[after]:
+        if end[-1] in HYPHENS and len(end) > 1 and (m := _CUT.search(end[:-1])) and after is not None and "\t" not in lines[after]:
             nxt = _WORD.match(lines[after].lstrip())
             if nxt:
                 left, right, carried = m[1], nxt[0], nxt[0]
@@ -281,7 +289,12 @@ def _told(seen: str, meant: str) -> bool:
 
 
 def _allowed(word: Column) -> Column:
-    return F.when(F.length(word) >= 9, 2).otherwise(1)
+    """Edits a word may have: one, two from nine letters on, and one for each foreign sign in any case."""
+    return F.greatest(F.when(F.length(word) >= 9, 2).otherwise(1), F.regexp_count(word, F.lit(f"(?U){_FOREIGN.pattern}")))
+
+
+def _slices(rows: DataFrame, name: str) -> DataFrame:
+    return rows.groupBy("len").agg(F.ceil(F.count(F.lit(1)) / F.lit(TRIE_WORDS)).cast("int").alias(name))
 
 
 def corrections(counts: DataFrame, least: int = LEAST, ratio: int = RATIO) -> DataFrame:
@@ -291,11 +304,14 @@ def corrections(counts: DataFrame, least: int = LEAST, ratio: int = RATIO) -> Da
     """
     plain = F.col("word").rlike(r"^\p{L}+$")
     vocabulary = counts.where(plain & (F.col("n") >= least) & (F.length("word") >= 2)).select("word", "n", F.length("word").alias("len"))
-    slices = vocabulary.groupBy("len").agg(F.ceil(F.count(F.lit(1)) / F.lit(TRIE_WORDS)).cast("int").alias("slices"))
-    side_a = vocabulary.join(sized_broadcast(slices), "len").withColumn("slice", F.pmod(F.xxhash64("word"), F.col("slices")))
     asked = counts.where((F.length("word") >= 2) & F.col("word").rlike(r"\p{L}") & (F.col("word").rlike(f"(?U){_FOREIGN.pattern}|{_STRANGE}") | (F.length("word") >= 4))).select("word", "n", F.length("word").alias("own"), _allowed(F.col("word")).alias("edits"))
     reach = asked.withColumn("len", F.explode(F.sequence(F.col("own") - F.col("edits") - 1, F.col("own") + F.col("edits"))))
-    side_b = reach.join(sized_broadcast(slices), "len").withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
+    # a trie is one length and slice of the vocabulary; it meets every slice of the words of that length
+    sizes = _slices(vocabulary, "slices").join(_slices(reach, "parts"), "len")
+    both = sized_broadcast(sizes)
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    side_a = vocabulary.join(both, "len").select("len", F.pmod(F.xxhash64("word"), F.col("slices")).cast("int").alias("slice"), every("parts").alias("part"), "word", "n")
+    side_b = reach.join(both, "len").select("len", F.pmod(F.xxhash64("word", F.lit(1)), F.col("parts")).cast("int").alias("part"), every("slices").alias("slice"), "word", "n", "edits")
 
     columns, strange = ["word", "right_word", "edits", "right_n", "n", "alike", "enough", "unknown"], re.compile(_STRANGE)
 
@@ -319,9 +335,10 @@ def corrections(counts: DataFrame, least: int = LEAST, ratio: int = RATIO) -> Da
                             found.append((w, right, e, int(n_of[right]), int(n), False, n_of[right] >= enough, unknown))
         return pd.DataFrame(found, columns=columns)
 
-    # a cogroup is one trie and the queries that reach it; queries are words counted once, not occurrences
-    slim_b = side_b.select("word", "n", "edits", "len", "slice")
-    looked = side_a.select(F.col("word").alias("v_word"), F.col("n").alias("v_n"), F.col("len").alias("v_len"), F.col("slice").alias("v_slice")).groupBy("v_len", "v_slice").cogroup(slim_b.groupBy("len", "slice")).applyInPandas(look, "word string, right_word string, edits int, right_n bigint, n bigint, alike boolean, enough boolean, unknown array<string>")
+    # a cogroup is one trie and a part of the words that reach it, counted once and not by occurrence; the number of tasks is given, since few bytes mean much work
+    key, n_tasks = ["len", "slice", "part"], max(cores(counts.sparkSession), tasks(counts, mb=1))
+    spread_a = side_a.select(*key, F.col("word").alias("v_word"), F.col("n").alias("v_n")).repartition(n_tasks, *key)
+    looked = spread_a.groupBy(*key).cogroup(side_b.repartition(n_tasks, *key).groupBy(*key)).applyInPandas(look, "word string, right_word string, edits int, right_n bigint, n bigint, alike boolean, enough boolean, unknown array<string>")
     looked = cut(looked)
     known = looked.where("enough and size(unknown) = 0")
     doubtful = looked.where("enough and size(unknown) > 0")
@@ -341,7 +358,7 @@ def learnt(looked: DataFrame) -> DataFrame:
 def word_counts(line_rows: DataFrame) -> DataFrame:
     """(word, n) over all lines, in lower case but for words of mixed signs; halves around a hyphen count joined."""
     words = line_rows.select(F.explode("words").alias("word"))
-    return words.where(F.length("word") < 64).groupBy(F.lower("word").alias("word")).agg(F.count(F.lit(1)).alias("n"))
+    return words.groupBy(F.lower("word").alias("word")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def codes(counts: DataFrame) -> DataFrame:
@@ -356,7 +373,7 @@ def found_lines(line_rows: DataFrame) -> DataFrame:
     counts = cut(word_counts(line_rows))
     wrong = misread_words(counts)
     furniture = line_rows.where("kind = 'furniture'").select(*where, "kind")
-    hyphen = hyphenated(line_rows, counts).select(*where, F.lit("hyphen").alias("kind"))
+    hyphen = hyphenated(line_rows).select(*where, F.lit("hyphen").alias("kind"))
     number = line_rows.where("number").select(*where, F.lit("misread").alias("kind"))
     occurrences = line_rows.select(*where, F.explode("words").alias("word"))
     own = occurrences.join(sized_broadcast(wrong.select(F.col("word").alias("_wrong")).distinct()), F.lower("word") == F.col("_wrong"), "left_semi").select(*where, F.lit("misread").alias("kind"))
@@ -380,32 +397,28 @@ def in_context(found: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def misread_words(counts: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
-    """(word, right_word): words that hold a wrongly recognised character, with the best candidate (null if none is known).
+    """(word, right_word): words that hold a wrongly recognised character, with the best candidate.
 
     Candidates rank by edits, then by the words before them if `pairs` (see `bigrams`) are given, then by frequency.
     """
     found = corrections(counts)
     found = found.withColumn("context", F.lit(0.0)) if pairs is None else in_context(cut(found), pairs)
     best = found.groupBy("word").agg(F.max_by("right_word", F.struct(-F.col("edits"), F.col("alike"), F.col("context"), F.col("right_n"), F.col("right_word"))).alias("right_word"))
-    mixed = counts.where(F.col("word").rlike(r"^(?=.*\p{L}{2})(?=.*[\d" + MARKS + INNER + r"]).+$") & ~F.col("word").rlike(r"^\d+\p{L}+$|^\p{L}+\d+$|^\p{L}{1,2}\d+\p{L}?$")).select("word")
-    foreign = counts.where(F.col("word").rlike(f"[{MARKS.translate({ord(c): None for c in '@!'})}{INNER}]") & F.col("word").rlike(r"\p{L}")).select("word")
-    known = codes(counts)
-    both = best.join(mixed.unionByName(foreign).distinct(), "word", "full_outer").join(known, "word", "left_anti")
+    words = best.join(codes(counts), "word", "left_anti")
     # a number with a letter for a digit, far rarer than the number it stands for
     digits = counts.where(F.col("word").rlike(r"^(?=.*\d)(?=.*[oil|sbzg])[\doil|sbzg]+$")).withColumn("right_word", F.translate("word", "oil|sbzg", "01115829"))
     right = counts.where(F.col("word").rlike(r"^\d+$")).select(F.col("word").alias("right_word"), F.col("n").alias("right_n"))
     numbers = digits.join(right, "right_word").where(F.col("right_n") >= RATIO * F.col("n")).select("word", "right_word")
-    return both.join(numbers.select("word"), "word", "left_anti").unionByName(numbers)
+    return words.join(numbers.select("word"), "word", "left_anti").unionByName(numbers)
 
 
-def hyphenated(line_rows: DataFrame, counts: DataFrame) -> DataFrame:
+def hyphenated(line_rows: DataFrame) -> DataFrame:
     """Lines whose last word is cut and would have no hyphen if written whole.
 
-    Suspended hyphens (Lønns- og) and halves whose form with a hyphen is the more frequent one are none; a capital abbreviation before the sign (IT-) keeps it.
+    Suspended hyphens (Lønns- og) are none, nor are halves of which the second isn't in small letters; a capital abbreviation before the sign (IT-) keeps it.
     """
     cutoff = line_rows.where("left is not null").where(~F.lower("right").isin("og", "eller", "and", "or", "samt", "til"))
-    cutoff = cutoff.where(~F.col("left").rlike(r"^\p{Lu}{2,}$") & F.col("right").rlike(r"^[\p{Ll}\d|€†¢]"))
-    return cutoff
+    return cutoff.where(~F.col("left").rlike(r"^\p{Lu}{2,}$") & F.col("right").rlike(r"^[\p{Ll}\d|€†¢]"))
 
 
 def repaired(page_rows: DataFrame, fixes: DataFrame) -> DataFrame:

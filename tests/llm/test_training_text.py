@@ -360,6 +360,26 @@ def test_misread_letters_are_found_beyond_the_tables(spark):
     assert all(text[d] == clean for d in changed)
 
 
+def test_candidates_decide_what_is_misread(spark, monkeypatch):
+    clean = "Generalforsamlingen vurderer strømforbruket og årsregnskapet for kontrakten."
+    rows = [("noter", i, "1", None, clean) for i in range(30)]
+    wrong = ["Genera1forsam1ingen", "strømfor6ruket", "årsr€gnskap€t", "kontrakten", "Kaifelt", "K12", "3B", "M40x", "kon†rak†en"]
+    rows += [("noter", 100 + i, "1", None, clean.replace("kontrakten", w)) for i, w in enumerate(wrong)]
+    lines = ocr_text.lines(spark.createDataFrame(rows, "origin string, doc_id long, nr string, name string, text string")).cache()
+    assert {r.doc_id for r in ocr_text.found_lines(lines).where("kind = 'misread'").collect()} == {100, 101, 102, 108}
+    # a small trie size makes many slices and parts; the words found are the same
+    counts = ocr_text.word_counts(lines)
+    whole = {tuple(r) for r in ocr_text.misread_words(counts).collect()}
+    monkeypatch.setattr(ocr_text, "TRIE_WORDS", 2)
+    assert {tuple(r) for r in ocr_text.misread_words(counts).collect()} == whole
+
+
+def test_furniture_of_any_length():
+    name = "SAMVIRKELAGET FOR FISKEOPPDRETT OG LANDBASERT FOREDLING AV SJØMAT I INDRE NORDLAND OG OMEGN MED DATTERSELSKAPER AS"
+    lines = [name, f"{name.title()} – Årsregnskap 2012\tside 18", "Dokumentnøkkel: " + "A1B2-" * 40, "Selskapet, som vist i fjor, har egne noter til regnskapet for 2012"]
+    assert ocr_text.is_furniture(lines) == [True, True, True, False]
+
+
 def test_context_decides_between_candidates(spark):
     rows = [(i, "stor hest løper fort") for i in range(30)] + [(100 + i, "liten best vinner sakte") for i in range(40)] + [(200 + i, "rød fest og glede") for i in range(20)] + [(300, "rød ƒest"), (301, "stor 6est løper")]
     lines = ocr_text.lines(spark.createDataFrame([("noter", i, "1", None, t) for i, t in rows], "origin string, doc_id long, nr string, name string, text string")).cache()
