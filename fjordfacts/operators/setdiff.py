@@ -2,12 +2,12 @@
 
 Rows are hashed into GF(2^61 - 1) and spread over buckets by their key, so both copies of a row
 meet in one bucket. Each side reduces a bucket to the values of its characteristic polynomial
-prod(z - h) at a few points; products combine map-side, so a shuffle carries a few numbers a
-bucket and side however many rows it holds. The ratio of both sides' values is a rational
+prod(z - h) at a few points. Buckets follow the hash that a shuffle by key uses, so those of rows
+aggregated by key lie whole in one partition, and a few numbers a bucket and side are all that moves. The ratio of both sides' values is a rational
 function whose numerator and denominator vanish exactly at the hashes that only one side has;
 it is interpolated for a bound on the number of differences and checked at further points.
 Buckets that fail go on with twice the bound. Each side then keeps the rows that are roots of
-its polynomial, and only those are joined and compared field by field.
+its polynomial, where they are if the polynomials are few enough to be broadcast, and only those are joined and compared field by field.
 """
 
 from __future__ import annotations
@@ -19,12 +19,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fjordfacts.session import cut
+from fjordfacts.session import cut, measured_broadcast
 
 P = (1 << 61) - 1
 CHECKS = 2
-#: Rows of the larger side a bucket holds on average, and the first bound on its differences.
-ROWS_A_BUCKET, FIRST_BOUND = 48, 16
+#: Rows of the larger side a bucket holds on average, and the first bound on its differences: a system of equations costs the cube of it.
+ROWS_A_BUCKET, FIRST_BOUND = 48, 8
+#: Rows that are multiplied at once.
+CHUNK = 1 << 16
 _P, _LOW = np.uint64(P), np.uint64((1 << 32) - 1)
 _U = np.uint64
 
@@ -145,7 +147,7 @@ def _hashes(df: DataFrame, key: list[str], fields: list[str], buckets: int) -> D
     """key, fields, _bucket and _hash in [2^20, P)."""
     text = F.to_json(F.struct(*(F.coalesce(F.col(c).cast("string"), F.lit("\u0001null")).alias(f"c{i}") for i, c in enumerate([*key, *fields]))))
     h = F.pmod(F.xxhash64(text), F.lit(P - (1 << 20))) + F.lit(1 << 20)
-    return df.withColumns({"_bucket": F.pmod(F.xxhash64(*key, F.lit("bucket")), F.lit(buckets)), "_hash": h})
+    return df.withColumns({"_bucket": F.pmod(F.hash(*key), F.lit(buckets)).cast("bigint"), "_hash": h})
 
 
 def _evaluations(both: DataFrame, n_points: int) -> DataFrame:
@@ -153,16 +155,18 @@ def _evaluations(both: DataFrame, n_points: int) -> DataFrame:
     z = points(n_points)
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for side in (0, 1):
-                part = pdf[pdf["_side"] == side]
-                if not len(part):
-                    continue
-                h = part["_hash"].to_numpy().astype(np.uint64)
-                values = sub(np.broadcast_to(z[None, :], (len(h), len(z))), h[:, None])
-                key, prod = product_by(part["_bucket"].to_numpy(), values)
-                count = part.groupby("_bucket").size()
-                yield pd.DataFrame({"_bucket": key, "_side": side, "n": count.loc[key].to_numpy(), "v": list(prod.astype(np.int64))})
+        parts = [(pdf["_bucket"].to_numpy(), pdf["_side"].to_numpy(), pdf["_hash"].to_numpy().astype(np.uint64)) for pdf in batches if len(pdf)]
+        if not parts:
+            return
+        bucket, side, h = (np.concatenate(c) for c in zip(*parts, strict=True))
+        group = bucket * 2 + side
+        order = np.argsort(group, kind="stable")
+        group, h = group[order], h[order]
+        found = [product_by(group[x : x + CHUNK], sub(np.broadcast_to(z[None, :], (len(h[x : x + CHUNK]), len(z))), h[x : x + CHUNK, None])) for x in range(0, len(h), CHUNK)]
+        # a group that two chunks share comes twice
+        key, prod = product_by(np.concatenate([k for k, _ in found]), np.concatenate([v for _, v in found]))
+        n = np.searchsorted(group, key, "right") - np.searchsorted(group, key)
+        yield pd.DataFrame({"_bucket": key // 2, "_side": (key % 2).astype(np.int32), "n": n, "v": list(prod.astype(np.int64))})
 
     def merge(pdf: pd.DataFrame) -> pd.DataFrame:
         wide: dict[int, dict] = {}
@@ -209,7 +213,7 @@ def _solved(evaluations: DataFrame, bound: int) -> DataFrame:
 
 
 def _roots(both: DataFrame, solved: DataFrame) -> DataFrame:
-    """The rows of either side that are roots of their side's polynomial."""
+    """The rows of either side that are roots of their side's polynomial. `solved` should be cut."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -225,8 +229,9 @@ def _roots(both: DataFrame, solved: DataFrame) -> DataFrame:
                     hit[at] = evaluate(np.stack(pdf["poly"].to_numpy()[at]).astype(np.uint64), h[at][:, None])[:, 0] == 0
             yield pdf.loc[hit].drop(columns="poly")
 
-    poly = F.when(F.col("_side") == 0, F.col("top")).otherwise(F.col("low"))
-    joined = both.join(solved, "_bucket").withColumn("poly", poly).where("size(poly) > 0").drop("top", "low", "ok")
+    # one row for each bucket and side that has differences
+    polynomials = solved.select("_bucket", F.inline(F.array(F.struct(F.lit(0).alias("_side"), F.col("top").alias("poly")), F.struct(F.lit(1).alias("_side"), F.col("low").alias("poly"))))).where("size(poly) > 0")
+    joined = both.join(measured_broadcast(polynomials, 32 + 8 * F.size("poly")), ["_bucket", "_side"])
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in joined.drop("poly").schema)
     return joined.mapInPandas(run, schema)
 
@@ -238,11 +243,13 @@ def differing_rows(left: DataFrame, right: DataFrame, key: list[str], fields: li
     side may be empty. The number of buckets follows the row count of the larger side.
     """
     cols = [*key, *fields]
-    size = max(left.count(), right.count())
-    buckets = max(1, -(-size // rows_a_bucket))
-    a = _hashes(left.select(*cols), key, fields, buckets).withColumn("_side", F.lit(0))
-    b = _hashes(right.select(*cols), key, fields, buckets).withColumn("_side", F.lit(1))
-    open_rows, bound, out = cut(a.unionByName(b)), first_bound, None
+    spark = left.sparkSession
+    a, b = cut(left.select(*cols)), cut(right.select(*cols))
+    size, partitions = max(a.count(), b.count()), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # a multiple of the shuffle's partitions: each bucket is part of one of them
+    buckets = partitions * max(1, -(-size // (rows_a_bucket * partitions)))
+    rows = [_hashes(side, key, fields, buckets).withColumn("_side", F.lit(i)) for i, side in enumerate((a, b))]
+    open_rows, bound, out = rows[0].unionByName(rows[1]), first_bound, None
     while True:
         solved = cut(_solved(_evaluations(open_rows, bound + CHECKS), bound))
         found = _roots(open_rows, solved.where("ok"))
@@ -250,7 +257,7 @@ def differing_rows(left: DataFrame, right: DataFrame, key: list[str], fields: li
         failed = solved.where("not ok").select("_bucket")
         if failed.isEmpty():
             return out.select(*cols, "_side")
-        open_rows = cut(open_rows.join(failed, "_bucket", "left_semi"))
+        open_rows = cut(open_rows.join(measured_broadcast(failed, 16), "_bucket", "left_semi"))
         bound *= 2
 
 
@@ -303,8 +310,9 @@ def latest(df: DataFrame, key: list[str], columns: list[str], at: str) -> DataFr
 def statement_sides(field_hits: DataFrame, checks: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Both stores' copies in one notation: doc_id, field and FIELDS."""
     hits = field_hits.select("doc_id", F.col("canonical").alias("field"), *((F.when(~F.isnan(c), F.col(c)) + F.lit(0.0)).alias(c) for c in ("value", "value_prev")), "page_idx", plain_label(F.col("label_matched")).alias("label_matched"), "loaded_at")
-    kept = latest(checks.select("doc_id", "field", "extracted", "extracted_prev", "page_idx", "label_matched", "missing", "loaded_at"), ["doc_id", "field"], ["missing", "extracted", "extracted_prev", "page_idx", "label_matched"], "loaded_at")
-    copies = kept.where("missing is null or missing <> 'extracted'").select("doc_id", "field", plain_number(F.col("extracted")).alias("value"), plain_number(F.col("extracted_prev")).alias("value_prev"), "page_idx", plain_label(F.col("label_matched")).alias("label_matched"))
+    # read before the shuffle, numbers are smaller than their texts
+    plain = checks.select("doc_id", "field", (F.coalesce(F.col("missing") == "extracted", F.lit(False))).alias("gone"), plain_number(F.col("extracted")).alias("value"), plain_number(F.col("extracted_prev")).alias("value_prev"), "page_idx", plain_label(F.col("label_matched")).alias("label_matched"), "loaded_at")
+    copies = latest(plain, ["doc_id", "field"], ["gone", *FIELDS], "loaded_at").where("not gone").drop("gone")
     return latest(hits, ["doc_id", "field"], FIELDS, "loaded_at"), copies
 
 

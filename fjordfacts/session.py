@@ -7,7 +7,7 @@ import tempfile
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Largest estimated size, in bytes, of a side that an operator broadcasts by hint.
@@ -58,6 +58,13 @@ def sized_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
     return F.broadcast(df) if size <= limit else df
 
 
+def measured_broadcast(df: DataFrame, bytes_a_row: Column | int, limit: int = BROADCAST_LIMIT) -> DataFrame:
+    """Hints a broadcast only if the side's measured size stays under the limit: for sides that were cut, of which the plan knows no size."""
+    width = bytes_a_row if isinstance(bytes_a_row, Column) else F.lit(bytes_a_row)
+    size = df.agg(F.coalesce(F.sum(width), F.lit(0)).alias("n")).first()["n"]
+    return F.broadcast(df) if size <= limit else df
+
+
 def tasks(df: DataFrame, mb: int = 8) -> int:
     """Partitions for a stage that computes much on few bytes, by the plan's size estimate: enough for all cores, and more as the data grows."""
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
