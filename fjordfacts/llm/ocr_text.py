@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fjordfacts.session import cores, cut, sized_broadcast, tasks
+from fjordfacts.session import cores, cut, measured_broadcast, sized_broadcast, tasks
 
 # What scans take for one another.
 ALIKE = (
@@ -79,6 +79,8 @@ _DECIMAL = re.compile(r"(?<![\w,.])[0-9OoIl|SsBZG]+,[0-9OoIl|SsBZG]+(?!\w)")
 _LETTER_IN = re.compile(r"[A-Za-z|]")
 #: A digit next to a letter that a scan takes for one: what every misread number has.
 _MIXED = re.compile(r"\d[ \u00a0.,]?[OoIl|SsBZzGgbqA]|[OoIl|SsBZzGgbqA][ \u00a0.,]?\d")
+#: Digits and letters that a scan takes for them, in lower case.
+_NUMBER_LIKE = r"^(?=.*\d)(?=.*[oil|sbzg])[\doil|sbzg]+$"
 _CUT = re.compile(rf"([^\W_][\w{MARKS.replace('!', '')}]*)$")
 
 
@@ -289,8 +291,9 @@ def _told(seen: str, meant: str) -> bool:
 
 
 def _allowed(word: Column) -> Column:
-    """Edits a word may have: one, two from nine letters on, and one for each foreign sign in any case."""
-    return F.greatest(F.when(F.length(word) >= 9, 2).otherwise(1), F.regexp_count(word, F.lit(f"(?U){_FOREIGN.pattern}")))
+    """Edits a word may have: one, two from nine letters on, and in any case one for each foreign sign if most of its characters are letters."""
+    base, signs = F.when(F.length(word) >= 9, 2).otherwise(1), F.regexp_count(word, F.lit(f"(?U){_FOREIGN.pattern}"))
+    return F.when(signs * 2 < F.length(word), F.greatest(base, signs)).otherwise(base)
 
 
 def _slices(rows: DataFrame, name: str) -> DataFrame:
@@ -300,15 +303,16 @@ def _slices(rows: DataFrame, name: str) -> DataFrame:
 def corrections(counts: DataFrame, least: int = LEAST, ratio: int = RATIO) -> DataFrame:
     """(word, right_word, edits, right_n, n, alike): candidates of each word that isn't vocabulary or is far rarer than one that is.
 
-    counts: (word, n). Words of under three characters, of digits only and codes as frequent as vocabulary words are no queries.
+    counts: (word, n). Single characters and numbers, also those with letters that a scan takes for digits, are no queries.
     """
     plain = F.col("word").rlike(r"^\p{L}+$")
     vocabulary = counts.where(plain & (F.col("n") >= least) & (F.length("word") >= 2)).select("word", "n", F.length("word").alias("len"))
-    asked = counts.where((F.length("word") >= 2) & F.col("word").rlike(r"\p{L}") & (F.col("word").rlike(f"(?U){_FOREIGN.pattern}|{_STRANGE}") | (F.length("word") >= 4))).select("word", "n", F.length("word").alias("own"), _allowed(F.col("word")).alias("edits"))
+    number = F.col("word").rlike(_NUMBER_LIKE) & (F.regexp_count("word", F.lit(r"\d")) * 2 >= F.length("word"))
+    asked = counts.where((F.length("word") >= 2) & F.col("word").rlike(r"\p{L}") & ~number & (F.col("word").rlike(f"(?U){_FOREIGN.pattern}|{_STRANGE}") | (F.length("word") >= 4))).select("word", "n", F.length("word").alias("own"), _allowed(F.col("word")).alias("edits"))
     reach = asked.withColumn("len", F.explode(F.sequence(F.col("own") - F.col("edits") - 1, F.col("own") + F.col("edits"))))
     # a trie is one length and slice of the vocabulary; it meets every slice of the words of that length
     sizes = _slices(vocabulary, "slices").join(_slices(reach, "parts"), "len")
-    both = sized_broadcast(sizes)
+    both = sized_broadcast(sizes)  # a row for each length of word
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     side_a = vocabulary.join(both, "len").select("len", F.pmod(F.xxhash64("word"), F.col("slices")).cast("int").alias("slice"), every("parts").alias("part"), "word", "n")
     side_b = reach.join(both, "len").select("len", F.pmod(F.xxhash64("word", F.lit(1)), F.col("parts")).cast("int").alias("part"), every("slices").alias("slice"), "word", "n", "edits")
@@ -343,7 +347,7 @@ def corrections(counts: DataFrame, least: int = LEAST, ratio: int = RATIO) -> Da
     known = looked.where("enough and size(unknown) = 0")
     doubtful = looked.where("enough and size(unknown) > 0")
     steps = doubtful.select("word", "right_word", F.explode(F.array_distinct("unknown")).alias("step"))
-    open_steps = steps.join(sized_broadcast(learnt(looked)), "step", "left_anti").select("word", "right_word").distinct()
+    open_steps = steps.join(measured_broadcast(cut(learnt(looked)), 48), "step", "left_anti").select("word", "right_word").distinct()
     return known.unionByName(doubtful.join(open_steps, ["word", "right_word"], "left_anti")).drop("enough", "unknown")
 
 
@@ -371,12 +375,12 @@ def found_lines(line_rows: DataFrame) -> DataFrame:
     """(origin, doc_id, nr, line_no, kind), distinct: furniture, hyphen and misread lines. `line_rows` is read several times and should be cut."""
     where = ["origin", "doc_id", "nr", "line_no"]
     counts = cut(word_counts(line_rows))
-    wrong = misread_words(counts)
+    wrong = cut(misread_words(counts).select(F.col("word").alias("_wrong")).distinct())
     furniture = line_rows.where("kind = 'furniture'").select(*where, "kind")
     hyphen = hyphenated(line_rows).select(*where, F.lit("hyphen").alias("kind"))
     number = line_rows.where("number").select(*where, F.lit("misread").alias("kind"))
     occurrences = line_rows.select(*where, F.explode("words").alias("word"))
-    own = occurrences.join(sized_broadcast(wrong.select(F.col("word").alias("_wrong")).distinct()), F.lower("word") == F.col("_wrong"), "left_semi").select(*where, F.lit("misread").alias("kind"))
+    own = occurrences.join(measured_broadcast(wrong, 32 + F.length("_wrong")), F.lower("word") == F.col("_wrong"), "left_semi").select(*where, F.lit("misread").alias("kind"))
     return furniture.unionByName(hyphen).unionByName(number).unionByName(own).distinct()
 
 
@@ -406,7 +410,7 @@ def misread_words(counts: DataFrame, pairs: DataFrame | None = None) -> DataFram
     best = found.groupBy("word").agg(F.max_by("right_word", F.struct(-F.col("edits"), F.col("alike"), F.col("context"), F.col("right_n"), F.col("right_word"))).alias("right_word"))
     words = best.join(codes(counts), "word", "left_anti")
     # a number with a letter for a digit, far rarer than the number it stands for
-    digits = counts.where(F.col("word").rlike(r"^(?=.*\d)(?=.*[oil|sbzg])[\doil|sbzg]+$")).withColumn("right_word", F.translate("word", "oil|sbzg", "01115829"))
+    digits = counts.where(F.col("word").rlike(_NUMBER_LIKE)).withColumn("right_word", F.translate("word", "oil|sbzg", "01115829"))
     right = counts.where(F.col("word").rlike(r"^\d+$")).select(F.col("word").alias("right_word"), F.col("n").alias("right_n"))
     numbers = digits.join(right, "right_word").where(F.col("right_n") >= RATIO * F.col("n")).select("word", "right_word")
     return words.join(numbers.select("word"), "word", "left_anti").unionByName(numbers)
@@ -424,7 +428,7 @@ def hyphenated(line_rows: DataFrame) -> DataFrame:
 def repaired(page_rows: DataFrame, fixes: DataFrame) -> DataFrame:
     """(origin, doc_id, nr, text): furniture dropped, halves joined, misread words replaced, lines reflowed into paragraphs; table rows stay lines."""
     words = page_rows.select("origin", "doc_id", "nr", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(f"(?U){WORD}"), F.lit(0)))).alias("word"))
-    used = words.join(sized_broadcast(fixes.where("right_word is not null")), "word").groupBy("origin", "doc_id", "nr").agg(F.map_from_entries(F.collect_set(F.struct("word", "right_word"))).alias("fix"))
+    used = words.join(measured_broadcast(fixes.where("right_word is not null"), 64 + F.length("word") + F.length("right_word")), "word").groupBy("origin", "doc_id", "nr").agg(F.map_from_entries(F.collect_set(F.struct("word", "right_word"))).alias("fix"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:

@@ -9,10 +9,10 @@ Both work on claims, one row for each (group, key, record, value), with aggregat
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fjordfacts.session import cut, sized_broadcast
+from fjordfacts.session import cut, measured_broadcast, sized_broadcast, tasks
 
 #: Most rounds before non-convergence is an error, and the movement that counts as none.
 ROUNDS, STILL = 1000, 1e-4
@@ -65,19 +65,18 @@ def discover(all_claims: DataFrame, rounds: int = ROUNDS, still: float = STILL)
     at = F.coalesce("extracted_at", F.to_timestamp_ntz(F.lit("0001-01-01 00:00:00")))
     supplier = F.max(F.struct((-F.col("trust_rank")).alias("trust"), at.alias("at"), "doc_id"))
     votes = all_claims.distinct().groupBy(*GROUP, "value", "source").agg(F.count(F.lit(1)).alias("n"), supplier.alias("supplier"))
-    votes = cut(votes)
+    # one shuffle by group serves all rounds: the windows below need no other, and only sums by source move
+    votes = cut(votes.repartition(tasks(all_claims), *GROUP))
     reliability = cut(votes.groupBy("source").agg(F.lit(0.8).alias("reliability")))
 
     def weighed(now: DataFrame) -> DataFrame:
         weight = -F.log(1.0 - F.least(F.col("reliability"), F.lit(0.999)))
-        each = votes.join(sized_broadcast(now), "source").withColumn("vote", weight * F.col("n"))
-        by_value = each.groupBy(*GROUP, "value").agg(F.sum("vote").alias("vote"), F.sum("n").alias("n"), F.max("supplier").alias("supplier"), F.collect_list(F.struct("source", "n")).alias("sources"))
-        whole = by_value.groupBy(*GROUP).agg(F.sum("vote").alias("whole"))
-        return by_value.join(whole, GROUP).withColumn("support", F.col("vote") / F.col("whole"))
+        each = votes.join(measured_broadcast(now, 64 + F.length("source")), "source").withColumn("vote", weight * F.col("n"))
+        share = F.sum("vote").over(Window.partitionBy(*GROUP, "value")) / F.sum("vote").over(Window.partitionBy(*GROUP))
+        return each.withColumn("support", share)
 
     for _ in range(rounds):
-        per_source = weighed(reliability).select("support", F.explode("sources").alias("x")).groupBy("x.source").agg((F.sum(F.col("support") * F.col("x.n")) / F.sum("x.n")).alias("reliability"))
-        after = cut(per_source)
+        after = cut(weighed(reliability).groupBy("source").agg((F.sum(F.col("support") * F.col("n")) / F.sum("n")).alias("reliability")))
         moved = after.alias("a").join(reliability.alias("b"), "source").where(F.abs(F.col("a.reliability") - F.col("b.reliability")) > still)
         done = moved.isEmpty()
         reliability = after
@@ -85,6 +84,7 @@ def discover(all_claims: DataFrame, rounds: int = ROUNDS, still: float = STILL)
             break
     else:
         raise RuntimeError(f"reliabilities still move by more than {still} after {rounds} rounds")
+    values = weighed(reliability).groupBy(*GROUP, "value").agg(F.max("support").alias("support"), F.sum("n").alias("n"), F.max("supplier").alias("supplier"))
     best = F.max(F.struct(F.round("support", 9).alias("support"), "n", "supplier", (-F.col("value")).alias("less")))
-    truths = weighed(reliability).groupBy(*GROUP).agg(best.alias("b"), F.sum("n").alias("n_claims"))
+    truths = values.groupBy(*GROUP).agg(best.alias("b"), F.sum("n").alias("n_claims"))
     return truths.select(*GROUP, (-F.col("b.less")).alias("value"), F.col("b.support").alias("support"), "n_claims", F.col("b.supplier.doc_id").alias("doc_id")), reliability
