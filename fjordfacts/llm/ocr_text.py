@@ -23,7 +23,9 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -169,14 +171,38 @@ def pages(noter: DataFrame, generell_info: DataFrame) -> DataFrame:
     return both.repartition(tasks(both), "origin", "doc_id", "nr").distinct()
 
 
-_LINE = "origin string, doc_id bigint, nr string, line_no int, kind string, words array<string>, left string, right string, number boolean"
+_LINE = "line_id bigint, origin string, doc_id bigint, nr string, line_no int, kind string, words array<string>, left string, right string, number boolean, word string, n bigint, lines array<bigint>"
 
 
-def lines(page_rows: DataFrame) -> DataFrame:
+def lines(page_rows: DataFrame, with_words: bool = False) -> DataFrame:
+    """Rows of two kinds, to be cut before use: the lines of all pages, and of kind `word` an index of their words.
+
+    A line has line_id, origin, doc_id, nr, line_no, kind (furniture, row, text), left, right, number, and its words if asked for. An index row has a word in
+    lower case, how often a batch of pages holds it and on which lines. Halves around a hyphen count joined.
+    """
+    columns = [c.split()[0] for c in _LINE.split(", ")]
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        context = TaskContext.get()
+        next_id = (context.partitionId() if context else 0) << 40
         for pdf in batches:
-            found = [(o, d, n, *line) for o, d, n, name, t in zip(*(pdf[c] for c in ("origin", "doc_id", "nr", "name", "text")), strict=True) for line in read_page(t, name)]
-            yield pd.DataFrame(found, columns=["origin", "doc_id", "nr", "line_no", "kind", "words", "left", "right", "number"])
+            found, index = [], {}
+            for o, d, n, name, t in zip(*(pdf[c] for c in ("origin", "doc_id", "nr", "name", "text")), strict=True):
+                for number, kind, words, left, right, misread in read_page(t, name):
+                    found.append((next_id, o, d, n, number, kind, words if with_words else None, left, right, misread, None, None, None))
+                    for w in words:
+                        w = w.lower()
+                        at = index.get(w)
+                        if at is None:
+                            index[w] = [next_id]
+                        else:
+                            at.append(next_id)
+                    next_id += 1
+            yield pd.DataFrame(found, columns=columns)
+            if index:
+                none = pd.Series([None] * len(index), dtype=object)
+                rest = dict.fromkeys(columns[:10], none) | {"kind": "word"}
+                yield pd.DataFrame({**rest, "word": list(index), "n": [len(x) for x in index.values()], "lines": pd.Series([np.unique(x) for x in index.values()], dtype=object)}, columns=columns)
 
     return page_rows.mapInPandas(run, _LINE)
 
@@ -360,9 +386,8 @@ def learnt(looked: DataFrame) -> DataFrame:
 
 
 def word_counts(line_rows: DataFrame) -> DataFrame:
-    """(word, n) over all lines, in lower case but for words of mixed signs; halves around a hyphen count joined."""
-    words = line_rows.select(F.explode("words").alias("word"))
-    return words.groupBy(F.lower("word").alias("word")).agg(F.count(F.lit(1)).alias("n"))
+    """(word, n) over all lines, in lower case."""
+    return line_rows.where("kind = 'word'").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def codes(counts: DataFrame) -> DataFrame:
@@ -374,18 +399,17 @@ def codes(counts: DataFrame) -> DataFrame:
 def found_lines(line_rows: DataFrame) -> DataFrame:
     """(origin, doc_id, nr, line_no, kind), distinct: furniture, hyphen and misread lines. `line_rows` is read several times and should be cut."""
     where = ["origin", "doc_id", "nr", "line_no"]
-    counts = cut(word_counts(line_rows))
-    wrong = cut(misread_words(counts).select(F.col("word").alias("_wrong")).distinct())
-    furniture = line_rows.where("kind = 'furniture'").select(*where, "kind")
-    hyphen = hyphenated(line_rows).select(*where, F.lit("hyphen").alias("kind"))
-    number = line_rows.where("number").select(*where, F.lit("misread").alias("kind"))
-    occurrences = line_rows.select(*where, F.explode("words").alias("word"))
-    own = occurrences.join(measured_broadcast(wrong, 32 + F.length("_wrong")), F.lower("word") == F.col("_wrong"), "left_semi").select(*where, F.lit("misread").alias("kind"))
-    return furniture.unionByName(hyphen).unionByName(number).unionByName(own).distinct()
+    misread = F.lit("misread").alias("kind")
+    wrong = cut(misread_words(cut(word_counts(line_rows))).select("word").distinct())
+    on_lines = line_rows.where("kind = 'word'").join(measured_broadcast(wrong, 32 + F.length("word")), "word", "left_semi").select(F.explode("lines").alias("line_id")).distinct()
+    plain = line_rows.where("kind <> 'word'")
+    own = plain.join(measured_broadcast(cut(on_lines), 16), "line_id", "left_semi").select(*where, misread)
+    hyphen = hyphenated(plain).select(*where, F.lit("hyphen").alias("kind"))
+    return plain.where("kind = 'furniture'").select(*where, "kind").unionByName(hyphen).unionByName(plain.where("number").select(*where, misread)).unionByName(own).distinct()
 
 
 def bigrams(line_rows: DataFrame) -> DataFrame:
-    """(before, word, n): how often a word follows another on a line, in lower case."""
+    """(before, word, n): how often a word follows another on a line, in lower case. The lines must have their words."""
     low = F.transform("words", F.lower)
     pairs = F.transform(F.sequence(F.lit(1), F.size("words") - 1), lambda i: F.struct(F.get(low, i - 1).alias("before"), F.get(low, i).alias("word")))
     rows = line_rows.where("size(words) > 1").select(F.inline(pairs))

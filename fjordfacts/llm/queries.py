@@ -19,7 +19,7 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p1_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
     page_rows = cut(_pages(spark, sf_dir))
-    line_rows = cut(ocr_text.lines(page_rows))
+    line_rows = cut(ocr_text.lines(page_rows, with_words=True))
     counts = cut(ocr_text.word_counts(line_rows))
     return ocr_text.repaired(page_rows, cut(ocr_text.misread_words(counts, cut(ocr_text.bigrams(line_rows)))))
 

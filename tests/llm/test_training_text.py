@@ -382,7 +382,7 @@ def test_furniture_of_any_length():
 
 def test_context_decides_between_candidates(spark):
     rows = [(i, "stor hest løper fort") for i in range(30)] + [(100 + i, "liten best vinner sakte") for i in range(40)] + [(200 + i, "rød fest og glede") for i in range(20)] + [(300, "rød ƒest"), (301, "stor 6est løper")]
-    lines = ocr_text.lines(spark.createDataFrame([("noter", i, "1", None, t) for i, t in rows], "origin string, doc_id long, nr string, name string, text string")).cache()
+    lines = ocr_text.lines(spark.createDataFrame([("noter", i, "1", None, t) for i, t in rows], "origin string, doc_id long, nr string, name string, text string"), with_words=True).cache()
     found = spark.createDataFrame([("6est", "hest", 1, 30, 1), ("6est", "best", 1, 40, 1)], "word string, right_word string, edits int, right_n long, n long")
     got = {r.right_word: r.context for r in ocr_text.in_context(found, ocr_text.bigrams(lines)).collect()}
     assert got["hest"] > 0 and got["best"] == 0
