@@ -175,7 +175,7 @@ _LINE = "line_id bigint, origin string, doc_id bigint, nr string, line_no int, k
 
 
 def lines(page_rows: DataFrame, with_words: bool = False) -> DataFrame:
-    """Rows of two kinds, to be cut before use: the lines of all pages, and of kind `word` an index of their words.
+    """Rows of two kinds: the lines of all pages, and of kind `word` an index of their words. Ids are only the same for both once the rows are cut.
 
     A line has line_id, origin, doc_id, nr, line_no, kind (furniture, row, text), left, right, number, and its words if asked for. An index row has a word in
     lower case, how often a batch of pages holds it and on which lines. Halves around a hyphen count joined.
@@ -397,7 +397,8 @@ def codes(counts: DataFrame) -> DataFrame:
 
 
 def found_lines(line_rows: DataFrame) -> DataFrame:
-    """(origin, doc_id, nr, line_no, kind), distinct: furniture, hyphen and misread lines. `line_rows` is read several times and should be cut."""
+    """(origin, doc_id, nr, line_no, kind), distinct: furniture, hyphen and misread lines. The lines are cut first: their ids must not change while they are read again."""
+    line_rows = cut(line_rows)
     where = ["origin", "doc_id", "nr", "line_no"]
     misread = F.lit("misread").alias("kind")
     wrong = cut(misread_words(cut(word_counts(line_rows))).select("word").distinct())

@@ -14,7 +14,7 @@ def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ocr_text.found_lines(cut(ocr_text.lines(_pages(spark, sf_dir))))
+    return ocr_text.found_lines(ocr_text.lines(_pages(spark, sf_dir)))
 
 
 def p1_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
