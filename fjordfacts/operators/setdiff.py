@@ -19,12 +19,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fjordfacts.session import cut, measured_broadcast
+from fjordfacts.session import cores, cut, measured_broadcast
 
 P = (1 << 61) - 1
 CHECKS = 2
 #: Rows of the larger side a bucket holds on average, and the first bound on its differences: a system of equations costs the cube of it.
-ROWS_A_BUCKET, FIRST_BOUND = 48, 8
+ROWS_A_BUCKET, FIRST_BOUND = 48, 16
+#: Buckets solved together in one task.
+BUCKETS_A_TASK = 20_000
 #: Rows that are multiplied at once.
 CHUNK = 1 << 16
 _P, _LOW = np.uint64(P), np.uint64((1 << 32) - 1)
@@ -151,7 +153,7 @@ def _hashes(df: DataFrame, key: list[str], fields: list[str], buckets: int) -> D
 
 
 def _evaluations(both: DataFrame, n_points: int) -> DataFrame:
-    """(_bucket, n_a, n_b, va, vb): row counts and polynomial values of each side at the first points."""
+    """(_bucket, _side, n, v): row count and polynomial values of a side at the first points; more than one row where a bucket lies in several partitions."""
     z = points(n_points)
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -168,48 +170,38 @@ def _evaluations(both: DataFrame, n_points: int) -> DataFrame:
         n = np.searchsorted(group, key, "right") - np.searchsorted(group, key)
         yield pd.DataFrame({"_bucket": key // 2, "_side": (key % 2).astype(np.int32), "n": n, "v": list(prod.astype(np.int64))})
 
-    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
-        wide: dict[int, dict] = {}
-        for side in (0, 1):
-            part = pdf[pdf["_side"] == side]
-            if len(part):
-                key, prod = product_by(part["_bucket"].to_numpy(), np.stack(part["v"].to_numpy()).astype(np.uint64))
-                counts = part.groupby("_bucket")["n"].sum()
-                for k, v in zip(key, prod, strict=True):
-                    wide.setdefault(int(k), {})[side] = (int(counts[k]), v.astype(np.int64))
-        one = (0, np.ones(len(z), np.int64))
-        return pd.DataFrame([(k, *w.get(0, one), *w.get(1, one)) for k, w in wide.items()], columns=["_bucket", "n_a", "va", "n_b", "vb"])
+    return both.select("_bucket", "_side", "_hash").mapInPandas(partial, "_bucket long, _side int, n long, v array<long>")
 
-    slim = both.select("_bucket", "_side", "_hash").mapInPandas(partial, "_bucket long, _side int, n long, v array<long>")
-    return slim.withColumn("_group", F.pmod(F.xxhash64("_bucket"), F.lit(4096))).groupBy("_group").applyInPandas(merge, "_bucket long, n_a long, va array<long>, n_b long, vb array<long>")
 
-
-def _solved(evaluations: DataFrame, bound: int) -> DataFrame:
-    """(_bucket, ok, top, low): the polynomials of each bucket whose bound was enough."""
+def _solved(evaluations: DataFrame, bound: int, n_tasks: int) -> DataFrame:
+    """(_bucket, ok, top, low): the polynomials of each bucket whose bound was enough. All buckets of a task are solved together."""
     z = points(bound + CHECKS)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            if not len(pdf):
-                continue
-            pdf = pdf.reset_index(drop=True)
-            surplus = (pdf["n_a"] - pdf["n_b"]).to_numpy()
-            top_of, low_of, ok = [None] * len(pdf), [None] * len(pdf), np.zeros(len(pdf), bool)
-            for s in np.unique(surplus):
-                at = np.flatnonzero(surplus == s)
-                if abs(s) > bound:
-                    continue
-                va, vb = (np.stack(pdf[c].to_numpy()[at]).astype(np.uint64) for c in ("va", "vb"))
-                ratio = mul(va, inverse(vb))
-                even = bound - ((bound - abs(int(s))) & 1)
-                top, low, good = interpolate(ratio, z, int(s), even)
-                for i, t, w, g in zip(at, top, low, good, strict=True):
-                    ok[i] = g
-                    if g:
-                        top_of[i], low_of[i] = t.astype(np.int64).tolist(), w.astype(np.int64).tolist()
-            yield pd.DataFrame({"_bucket": pdf["_bucket"], "ok": ok, "top": top_of, "low": low_of})
-
-    return evaluations.mapInPandas(run, "_bucket long, ok boolean, top array<long>, low array<long>")
+        parts = [pdf for pdf in batches if len(pdf)]
+        if not parts:
+            return
+        pdf = pd.concat(parts, ignore_index=True)
+        bucket, place = np.unique(pdf["_bucket"].to_numpy(), return_inverse=True)
+        side = pdf["_side"].to_numpy()
+        n, values = np.zeros((2, len(bucket)), np.int64), np.ones((2, len(bucket), len(z)), np.uint64)
+        for s in (0, 1):
+            at = np.flatnonzero(side == s)
+            if len(at):
+                np.add.at(n[s], place[at], pdf["n"].to_numpy()[at])
+                key, product = product_by(place[at], np.stack(pdf["v"].to_numpy()[at]).astype(np.uint64))
+                values[s][key] = product
+        surplus = n[0] - n[1]
+        top_of, low_of, ok = np.full(len(bucket), None, object), np.full(len(bucket), None, object), np.zeros(len(bucket), bool)
+        for s in np.unique(surplus[np.abs(surplus) <= bound]):
+            at = np.flatnonzero(surplus == s)
+            even = bound - ((bound - abs(int(s))) & 1)
+            top, low, good = interpolate(mul(values[0][at], inverse(values[1][at])), z, int(s), even)
+            for i, t, w in zip(at[good], top[good].astype(np.int64), low[good].astype(np.int64), strict=True):
+                ok[i], top_of[i], low_of[i] = True, t, w
+        yield pd.DataFrame({"_bucket": bucket, "ok": ok, "top": top_of, "low": low_of})
+
+    return evaluations.repartition(n_tasks, "_bucket").mapInPandas(run, "_bucket long, ok boolean, top array<long>, low array<long>")
 
 
 def _roots(both: DataFrame, solved: DataFrame) -> DataFrame:
@@ -251,7 +243,7 @@ def differing_rows(left: DataFrame, right: DataFrame, key: list[str], fields: li
     rows = [_hashes(side, key, fields, buckets).withColumn("_side", F.lit(i)) for i, side in enumerate((a, b))]
     open_rows, bound, out = rows[0].unionByName(rows[1]), first_bound, None
     while True:
-        solved = cut(_solved(_evaluations(open_rows, bound + CHECKS), bound))
+        solved = cut(_solved(_evaluations(open_rows, bound + CHECKS), bound, max(cores(spark), -(-buckets // BUCKETS_A_TASK))))
         found = _roots(open_rows, solved.where("ok"))
         out = found if out is None else out.unionByName(found)
         failed = solved.where("not ok").select("_bucket")
