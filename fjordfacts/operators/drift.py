@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fjordfacts.operators import structural as S
-from fjordfacts.session import sized_broadcast
+from fjordfacts.session import cut, measured_broadcast
 
 #: Members that hold the nested lists; they are problem 3's.
 NESTED = ("manifest", "noter", "validation", "extraction_meta")
@@ -250,21 +250,29 @@ def changes(profile: DataFrame, threshold: float = RENAME_AT) -> DataFrame:
 
 
 def unified(rows: DataFrame, found: DataFrame) -> DataFrame:
-    """(id, run_tag, file_seq, fields): every record's non-null fields as a map under their unified names.
+    """(id, run_tag, file_seq, fields, clashes): one row for each record, its non-null fields as a JSON object under their unified names and types.
 
-    `rows` are `members` with an id. A renamed field carries its name to later files until it is removed or
-    renamed again; the names of one run are few, so they travel to the rows and not the rows to them.
+    `rows` are `members` with an id, and should be cut. A renamed field carries its name to later files until it is removed or
+    renamed again; the names of one run are few, so they travel to the rows and not the rows to them. A field that has one type in
+    all files keeps it; one of several types is a string in all. Where two fields of a record come to one name, the one that
+    bears it counts, else the greatest value; the names this happened to with differing values are the clashes.
     """
     moves = F.array_sort(F.collect_list(F.struct("file_seq", "field", "unified", "until")))
-    names = unified_names(found)
-    spans = names.groupBy("run_tag").agg(moves.alias("moves")).withColumnRenamed("run_tag", "run")
-    joined = rows.where("kind is not null").join(sized_broadcast(spans), "run", "left")
+    spans = cut(unified_names(found).groupBy("run_tag").agg(moves.alias("moves")).withColumnRenamed("run_tag", "run"))
+    joined = rows.where("kind is not null").join(measured_broadcast(spans, 64 + 96 * F.size("moves")), "run", "left")
     hits = F.filter("moves", lambda m: (m["field"] == F.col("field")) & (m["file_seq"] <= F.col("seq")) & (F.col("seq") < m["until"]))
     name = F.coalesce(F.try_element_at(F.transform(hits, lambda m: m["unified"]), F.lit(-1)), F.col("field"))
-    named = joined.select("id", "run", "seq", name.alias("field"), "value").distinct()
-    entries = F.map_from_entries(F.array_sort(F.collect_list(F.struct("field", "value"))))
-    one = named.groupBy("id", "run", "seq", "field").agg(F.max("value").alias("value"))
-    return one.groupBy("id", "run", "seq").agg(F.to_json(entries).alias("fields")).withColumnsRenamed({"run": "run_tag", "seq": "file_seq"})
+    named = joined.select("id", "run", "seq", (name == F.col("field")).alias("own"), "kind", "value", name.alias("field")).distinct()
+    types = cut(named.groupBy("run", "field").agg(F.when(F.min("kind") == F.max("kind"), F.min("kind")).otherwise("string").alias("type")))
+    best = F.max(F.struct("own", "value", "kind")).alias("b")
+    one = named.groupBy("id", "run", "seq", "field").agg(best, (F.count_distinct("value") > 1).alias("clash")).join(measured_broadcast(types, 96), ["run", "field"])
+    quoted = F.to_json(F.create_map("field", F.col("b.value")))
+    plain = F.concat(F.regexp_replace(F.to_json(F.create_map("field", F.lit(""))), '""\\}$', ""), F.col("b.value"), F.lit("}"))
+    entry = F.when(F.col("type") == "string", quoted).otherwise(plain)
+    inner = F.array_sort(F.collect_list(F.struct("field", F.substring(entry, F.lit(2), F.length(entry) - 2).alias("e"))))
+    fields = F.concat(F.lit("{"), F.array_join(F.transform(inner, lambda x: x["e"]), ","), F.lit("}"))
+    out = one.groupBy("id", "run", "seq").agg(fields.alias("fields"), F.array_sort(F.collect_list(F.when(F.col("clash"), F.col("field")))).alias("clashes"))
+    return out.withColumnsRenamed({"run": "run_tag", "seq": "file_seq"})
 
 
 def unified_names(found: DataFrame) -> DataFrame:

@@ -28,8 +28,8 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p4_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The consistent table: one row per record, with its fields under the first name each had in its run."""
-    members = drift.members(table(spark, sf_dir, "raw_records"), keep="raw_id")
+    """The consistent table: one row per record, with its fields under the first name and the common type each has in its run."""
+    members = cut(drift.members(table(spark, sf_dir, "raw_records"), keep="raw_id"))
     profile = cut(drift.profiles(members))
     return drift.unified(members, drift.changes(profile))
 

@@ -62,6 +62,23 @@ def test_drift(spark):
     assert wide[0]["model"] == "m1" and "engine" not in wide[0]
 
 
+def test_unified_names_and_types(spark):
+    r = random.Random(2)
+    rows = []
+    for i in range(30):
+        code = f"{r.getrandbits(64):016x}"
+        rows.append(("r", 1, i, json.dumps({"kode": code, "year": 2000 + i, "ok": True, "liste": [1, {"a": "x"}], "navn": 'a"b'})))
+        rows.append(("r", 2, 100 + i, json.dumps({"kode_ny": code, "year": str(2000 + i), "ok": False, "liste": [], "navn": "c", "null": None})))
+    rows += [("r", 2, 200, json.dumps({"kode_ny": "1", "kode": "2", "year": "5"}))]
+    df = spark.createDataFrame(rows, "run_tag string, file_seq int, raw_id long, payload string")
+    found = drift.changes(drift.profiles(drift.members(df.where("raw_id < 200"))))
+    assert ("r", 2, "renamed", "kode", "kode_ny") in {tuple(x) for x in found.collect()}
+    got = {x.id: (json.loads(x.fields), x.clashes) for x in drift.unified(drift.members(df, keep="raw_id"), found).collect()}
+    assert got[3][0]["year"] == "2003" and got[103][0]["year"] == "2003" and got[3][0]["kode"] == got[103][0]["kode"]
+    assert got[3][0]["liste"] == [1, {"a": "x"}] and got[103][0]["ok"] is False and got[3][0]["navn"] == 'a"b' and "null" not in got[103][0] and got[3][1] == []
+    assert got[200] == ({"kode": "2", "year": "5"}, ["kode"])
+
+
 def test_matching_is_optimal():
     from itertools import permutations
 
