@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from fjordfacts.llm import tokens
 from fjordfacts.session import sized_broadcast
 
-#: Budget, in tokens, that is left to the dynamic program.
+#: Budget, in tokens, that is left to the dynamic program at first.
 WINDOW = 1 << 16
 #: Hash ranges of the seeded order within a length.
 RANGES = 4096
@@ -74,13 +74,24 @@ def capacity(counts: DataFrame, mix: DataFrame) -> DataFrame:
 def fit(sizes: np.ndarray, counts: np.ndarray, budget: int, window: int = WINDOW) -> np.ndarray:
     """How many items of each size to take so that their sum comes as near below the budget as the items allow.
 
-    An even share of every size, then single items from the most frequent sizes while more than
-    the window is open, then the exact dynamic program over what remains.
+    An even share of every size, single items from the most frequent sizes while more than the window is open, then the
+    exact dynamic program over what remains. If that misses what divisibility allows, the window doubles, up to
+    the whole budget, where the program alone decides: the result is the best there is.
     """
     total = int((sizes * counts).sum())
     if total <= budget:
         return counts.copy()
-    take = np.floor(counts * (budget / total)).astype(np.int64)
+    some = sizes[(counts > 0) & (sizes > 0)]
+    reachable = budget - budget % int(np.gcd.reduce(some)) if len(some) else 0
+    while True:
+        take = _fit_within(sizes, counts, budget, total, window)
+        if window >= budget or int((sizes * take).sum()) == reachable:
+            return take
+        window *= 2
+
+
+def _fit_within(sizes: np.ndarray, counts: np.ndarray, budget: int, total: int, window: int) -> np.ndarray:
+    take = np.floor(counts * (max(0, budget - window) / total)).astype(np.int64) if window < budget else np.zeros(len(counts), np.int64)
     rest = budget - int((sizes * take).sum())
     left = counts - take
     for i in np.argsort(-counts, kind="stable"):
@@ -122,7 +133,7 @@ def plan(counts: DataFrame, mix: DataFrame) -> DataFrame:
         pdf = pdf.sort_values("n_tokens").reset_index(drop=True)
         sizes, n = pdf["n_tokens"].to_numpy(np.int64), pdf["n"].to_numpy(np.int64)
         own, target, most = int((sizes * n).sum()), int(pdf["target"].iloc[0]), int(pdf["max_repeats"].iloc[0])
-        passes = min(most, target // own) if own else 0
+        passes = min(most, target // own) if own else most
         extra = fit(sizes, n, target - passes * own) if passes < most else np.zeros(len(n), np.int64)
         return pd.DataFrame({"source": pdf["source"], "n_tokens": sizes, "n": n, "passes": passes, "extra": extra})
 
@@ -155,5 +166,9 @@ def shares(planned: DataFrame, counts: DataFrame, mix: DataFrame) -> DataFrame:
     return out.select("source", "target_share", "tokens", "mixed_tokens", F.when(F.col("_whole") > 0, F.col("mixed_tokens") / F.col("_whole")).alias("actual_share"), "reachable")
 
 
-def short_sources(counts: DataFrame, mix: DataFrame) -> DataFrame:
-    return capacity(counts, mix).where("not reachable").select("source").distinct()
+def short_sources(planned: DataFrame, counts: DataFrame, mix: DataFrame) -> DataFrame:
+    """(source): sources whose plan uses every document as often as it may and still stays below the target, and those without documents that have one."""
+    used = planned.groupBy("source").agg(F.sum(F.col("n_tokens") * (F.col("passes") * F.col("n") + F.col("extra"))).alias("mixed_tokens"), F.min("passes").alias("passes"))
+    out = capacity(counts, mix).join(used, "source", "left")
+    spent = F.coalesce(F.col("passes") >= F.col("max_repeats"), F.lit(True))
+    return out.where(spent & (F.coalesce("mixed_tokens", F.lit(0)) < F.col("target"))).select("source").distinct()

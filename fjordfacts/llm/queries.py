@@ -45,8 +45,9 @@ def p7_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mix = table(spark, sf_dir, "mix_targets")
     counts = cut(mixing.histogram(mixing.lengths(table(spark, sf_dir, "documents"), keep_ids=False)))
-    return mixing.short_sources(counts, table(spark, sf_dir, "mix_targets"))
+    return mixing.short_sources(mixing.plan(counts, mix), counts, mix)
 
 
 def _mixed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:

@@ -89,8 +89,12 @@ def test_fit_is_the_best_subset_sum():
         assert ((take >= 0) & (take <= counts)).all()
         total = int((sizes * take).sum())
         assert total <= budget
-        # the share taken up front may cost a few tokens at these tiny sizes; near the whole it is exact
-        assert total >= max(r for r in reach if r <= budget) - sizes.max()
+        assert total == max(r for r in reach if r <= budget)
+    # a small window grows until the sum is the best there is
+    sizes, counts = np.array([6, 10, 15]), np.array([40, 3, 2])
+    for budget in range(1, 290):
+        best = max(6 * a + 10 * b + 15 * c for a in range(41) for b in range(4) for c in range(3) if 6 * a + 10 * b + 15 * c <= budget)
+        assert int((sizes * mixing.fit(sizes, counts, budget, window=8)).sum()) == best
 
 
 def test_mixture(spark):
@@ -111,7 +115,7 @@ def test_mixture(spark):
     assert used["a"] == stated["a"].mixed_tokens and used["b"] == stated["b"].mixed_tokens
     total = sum(r.n_tokens for r in measured.collect())
     assert 0 <= 0.3 * total - used["a"] < 30 and 0 <= 0.65 * total - used["b"] < 30
-    assert [r.source for r in mixing.short_sources(counts, mix).collect()] == ["c"]
+    assert [r.source for r in mixing.short_sources(planned, counts, mix).collect()] == ["c"]
     assert sorted(map(tuple, mixing.mixture(measured, planned).collect())) == sorted(map(tuple, got))
     assert mixing.histogram(mixing.lengths(df, keep_ids=False)).count() == counts.count()
 
