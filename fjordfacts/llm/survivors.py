@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fjordfacts.session import cut, measured_broadcast, sized_broadcast, tasks
+from fjordfacts.session import cut, cut_by, measured_broadcast, sized_broadcast, tasks
 
 #: Most rounds before non-convergence is an error, and the movement that counts as none.
 ROUNDS, STILL = 1000, 1e-4
@@ -66,7 +66,7 @@ def discover(all_claims: DataFrame, rounds: int = ROUNDS, still: float = STILL)
     supplier = F.max(F.struct((-F.col("trust_rank")).alias("trust"), at.alias("at"), "doc_id"))
     votes = all_claims.distinct().groupBy(*GROUP, "value", "source").agg(F.count(F.lit(1)).alias("n"), supplier.alias("supplier"))
     # one shuffle by group serves all rounds: the windows below need no other, and only sums by source move
-    votes = cut(votes.repartition(tasks(all_claims), *GROUP))
+    votes = cut_by(votes, GROUP, min(4096, tasks(all_claims)))
     reliability = cut(votes.groupBy("source").agg(F.lit(0.8).alias("reliability")))
 
     def weighed(now: DataFrame) -> DataFrame:
