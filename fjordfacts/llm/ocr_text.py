@@ -178,7 +178,7 @@ def lines(page_rows: DataFrame, with_words: bool = False) -> DataFrame:
     """Rows of two kinds: the lines of all pages, and of kind `word` an index of their words. Ids are only the same for both once the rows are cut.
 
     A line has line_id, origin, doc_id, nr, line_no, kind (furniture, row, text), left, right, number, and its words if asked for. An index row has a word in
-    lower case, how often a batch of pages holds it and on which lines. Halves around a hyphen count joined.
+    lower case, how often a batch of pages holds it and on which lines, once for each time. Halves around a hyphen count joined.
     """
     columns = [c.split()[0] for c in _LINE.split(", ")]
 
@@ -202,7 +202,7 @@ def lines(page_rows: DataFrame, with_words: bool = False) -> DataFrame:
             if index:
                 none = pd.Series([None] * len(index), dtype=object)
                 rest = dict.fromkeys(columns[:10], none) | {"kind": "word"}
-                yield pd.DataFrame({**rest, "word": list(index), "n": [len(x) for x in index.values()], "lines": pd.Series([np.unique(x) for x in index.values()], dtype=object)}, columns=columns)
+                yield pd.DataFrame({**rest, "word": list(index), "n": [len(x) for x in index.values()], "lines": pd.Series(list(map(np.array, index.values())), dtype=object)}, columns=columns)
 
     return page_rows.mapInPandas(run, _LINE)
 
