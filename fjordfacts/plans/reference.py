@@ -10,9 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fjordfacts.functions import amounts
+from fjordfacts.functions.text import once
 from fjordfacts.operators import fingerprint, flow, kv, layout, metadata, notes, pages, reconcile, runs, scan
 from fjordfacts.operators.schema import FIELDS, field_spec
-from fjordfacts.session import cut, table, tasks
+from fjordfacts.session import cut, spread, table, tasks
 from fjordfacts.sources import io
 
 QUERIES: dict = {}
@@ -76,7 +77,7 @@ select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_orderkey % 8 as style,
   case l_orderkey % 8 when 4 then -({_CENTS} // 100) when 5 then {_CENTS} / 100.0 when 7 then null else case when l_orderkey % 8 in (2, 6) then {_CENTS} / 100.0 else {_CENTS} // 100 end end::double as amount
 from lineitem""")
 def b1_normalize_amount(spark: SparkSession, d: str) -> DataFrame:
-    df = table(spark, d, "lineitem").withColumn("c", F.round(F.col("l_extendedprice") * 100).cast("bigint"))
+    df = spread(table(spark, d, "lineitem")).withColumn("c", F.round(F.col("l_extendedprice") * 100).cast("bigint"))
     whole, part = F.floor(F.col("c") / 100).cast("bigint"), F.lpad((F.col("c") % 100).cast("string"), 2, "0")
     grouped = F.format_number(whole, 0)
     style = F.col("l_orderkey") % 8
@@ -85,7 +86,8 @@ def b1_normalize_amount(spark: SparkSession, d: str) -> DataFrame:
         F.translate(whole.cast("string"), "10", "lO"), F.concat(F.lit("("), F.replace(grouped, F.lit(","), F.lit(" ")), F.lit(")")), F.concat(grouped, F.lit("."), part), F.concat(F.lit("kr. "), whole, F.lit(","), part, F.lit(" %")), F.concat(whole, F.lit(" stk")),
     ]
     text = F.coalesce(*(F.when(style == i, t) for i, t in enumerate(by)))
-    return df.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", style.alias("style"), amounts.normalize_amount(text).alias("amount"))
+    rows = once(df.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", style.alias("style"), "c"), t=text).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "style", "t")
+    return rows.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "style", amounts.normalize_amount(F.col("t")).alias("amount"))
 
 
 _MILL = r"\b(mnok|i\s+millioner|million(er)?(\s+(kr|nok))?|tall i million(er)?)\b"
