@@ -128,13 +128,13 @@ def b7_looks_numeric(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _words(spark: SparkSession, d: str) -> DataFrame:
-    w = table(spark, d, "documents").select("doc_id", F.posexplode(F.split(F.trim(F.regexp_replace("text", r"[^A-Za-z0-9]+", " ")), " ")).alias("pos", "text")).where("text <> ''")
+    w = table(spark, d, "documents").select("doc_id", F.posexplode(F.split(F.trim(F.regexp_replace("text", r"[^\p{L}\p{N}]+", " ")), " ")).alias("pos", "text")).where("text <> ''")
     return w.select("doc_id", F.lit(1).alias("page_no"), F.lit(1).alias("block_id"), F.lit(1).alias("par_id"), F.floor(F.col("pos") / 8).cast("int").alias("line_id"), (F.col("pos") % 8).alias("word_id"), ((F.col("pos") % 8) * 160 + (F.col("doc_id") * 31 + F.col("pos") * 17) % 5 * 25).cast("int").alias("left"), F.floor(F.col("pos") / 8).cast("int").alias("top"), F.lit(40).alias("width"), F.lit(10).alias("height"), F.lit(90.0).alias("conf"), "text")
 
 
 @query("""
 with w as (
-  select doc_id, unnest(string_split(trim(regexp_replace(text, '[^A-Za-z0-9]+', ' ', 'g')), ' ')) as t, generate_subscripts(string_split(trim(regexp_replace(text, '[^A-Za-z0-9]+', ' ', 'g')), ' '), 1) - 1 as pos from documents),
+  select doc_id, unnest(string_split(trim(regexp_replace(text, '[^\\p{L}\\p{N}]+', ' ', 'g')), ' ')) as t, generate_subscripts(string_split(trim(regexp_replace(text, '[^\\p{L}\\p{N}]+', ' ', 'g')), ' '), 1) - 1 as pos from documents),
 b as (select doc_id, pos // 8 as line_id, pos, t, (pos % 8) * 160 + (doc_id * 31 + pos * 17) % 5 * 25 as x from w where t <> ''),
 g as (select *, case when lag(x) over (partition by doc_id, line_id order by x, pos) is not null then greatest(0, x - lag(x + 40) over (partition by doc_id, line_id order by x, pos)) end as gap from b),
 m as (select doc_id, line_id, list_sort(list(gap) filter (gap is not null)) as gs from g group by all),
@@ -155,9 +155,10 @@ def _note_pages(spark: SparkSession, d: str) -> DataFrame:
 @query("""
 with n as (select distinct doc_id, nr, tittel, raw_text, cast(regexp_extract(nr, '^([0-9]+)', 1) as int) as p from noter where raw_text is not null),
 r as (select *, row_number() over (partition by doc_id order by p, 'Note ' || nr || ' ' || tittel || chr(10) || raw_text) as k, count(*) over (partition by doc_id) as m from n)
-select doc_id, nr, trim(tittel) as tittel, k as first_page, case when k < m then k + 1 else k end as last_page from r""")
+select doc_id, nr, trim(tittel) as tittel, regexp_replace(raw_text || case when k < m then chr(10) || '<<<PAGE_BREAK>>>' else '' end, '^[\\s\u00a0]+|[\\s\u00a0]+$', '', 'g') as raw_text, case when k < m then [k, k + 1] else [k] end as page_refs from r""")
 def d1_segment_notes(spark: SparkSession, d: str) -> DataFrame:
-    return notes.segment(_note_pages(spark, d)).select("doc_id", "nr", "tittel", F.col("page_refs")[0].cast("bigint").alias("first_page"), F.element_at("page_refs", -1).cast("bigint").alias("last_page"))
+    """A note that ends with its page keeps the mark of the break, since the text is trimmed before whole marks are taken out."""
+    return notes.segment(_note_pages(spark, d)).select("doc_id", "nr", "tittel", "raw_text", F.col("page_refs").cast("array<bigint>").alias("page_refs"))
 
 
 @query("""

@@ -31,6 +31,14 @@ def run_available(stream: DataFrame, transform: Callable[[DataFrame], DataFrame]
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def boxed(query: StreamingQuery, seconds: float) -> bool:
+    """Waits for a run at most so long and stops it then; whether it came to its end. What was not done comes with the next run."""
+    ended = bool(query.awaitTermination(seconds))
+    if not ended:
+        query.stop()
+    return ended
+
+
 def windowed_status(stream: DataFrame, at: str = "ts", late: str = "1 day", width: str = "1 hour") -> DataFrame:
     """Status counts by event time; rows later than the watermark are dropped."""
     return stream.withWatermark(at, late).groupBy(F.window(at, width), "status").agg(F.count(F.lit(1)).alias("n"))

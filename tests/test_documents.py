@@ -193,3 +193,52 @@ def test_statement_flow_survives_empty_tables(spark):
     api = spark.createDataFrame([(2, "sum_gjeld", "5")], "doc_id long, field string, value string")
     got = {r.doc_id: (r.status, r.setup, r.n_missing_extract) for r in flow.statement_flow(dims, texts, api, field_spec(spark)).collect()}
     assert got == {1: ("skipped_legacy_format", None, None), 2: ("ok", "unknown", 1)}
+
+
+def test_time_boxed_run_goes_on_where_it_stopped(spark, tmp_path):
+    import time
+
+    from fjordfacts.streaming import runner
+
+    src, out, check = (str(tmp_path / x) for x in ("in", "out", "check"))
+    for i in range(3):
+        spark.range(i * 10, i * 10 + 10).coalesce(1).write.mode("append").parquet(src)
+
+    def slow(batch):
+        time.sleep(4)
+        return batch
+
+    start = lambda f: runner.run_available(runner.stream_table(spark, src, "id long", files_per_trigger=1), f, out, check, ["id"])
+    assert not runner.boxed(start(slow), 1.0)
+    assert runner.boxed(start(lambda b: b), 120.0)
+    assert sorted(r.id for r in spark.read.parquet(out).collect()) == list(range(30))
+
+
+def test_status_counts_by_event_time(spark):
+    from fjordfacts.streaming import runner
+
+    rows = spark.createDataFrame([("2024-01-01 10:05:00", "ok"), ("2024-01-01 10:55:00", "ok"), ("2024-01-01 11:05:00", "error")], "ts string, status string").withColumn("ts", F.to_timestamp("ts"))
+    assert sorted((r.window.start.hour, r.status, r.n) for r in runner.windowed_status(rows).collect()) == [(10, "ok", 2), (11, "error", 1)]
+
+
+def test_readers_and_recogniser(spark, tmp_path):
+    import pyarrow as pa
+
+    folder = tmp_path / "912345678"
+    folder.mkdir()
+    (folder / "aarsregnskap_2023.pdf").write_bytes(b"abc")
+    (folder / "note.txt").write_bytes(b"x")
+    r = io.read_binary(spark, str(tmp_path)).collect()
+    assert [(x.orgnr, x.year, x.name, bytes(x.content), x.pdf_sha256_prefix) for x in r] == [("912345678", 2023, "aarsregnskap_2023.pdf", b"abc", "ba7816bf8f01cfea")]
+
+    def backend(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([c.as_py().decode().upper() for c in b.column(2)])], names=["doc_id", "page_no", "text"])
+
+    pages_ = spark.createDataFrame([(1, 1, bytearray(b"side en")), (1, 2, bytearray(b"side to"))], "doc_id long, page_no int, content binary")
+    assert {r.page_no: r.text for r in io.recognise(pages_, backend).collect()} == {1: "SIDE EN", 2: "SIDE TO"}
+    (tmp_path / "spec.txt").write_text("# kommentar\n912345678 2023 x\n\n1\n987654321  2022\n")
+    assert {(r.orgnr, r.year) for r in io.read_spec(spark, str(tmp_path / "spec.txt")).collect()} == {("912345678", 2023), ("987654321", 2022)}
+    (tmp_path / "rec").mkdir()
+    (tmp_path / "rec" / "a.json").write_text('{\n"orgnr": "9",\n"year": 2023}')
+    assert [tuple(r) for r in io.read_records(spark, str(tmp_path / "rec"), "orgnr string, year int").collect()] == [("9", 2023)]
