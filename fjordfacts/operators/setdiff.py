@@ -19,6 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fjordfacts.functions.text import let
 from fjordfacts.session import cores, cut, measured_broadcast
 
 P = (1 << 61) - 1
@@ -270,19 +271,26 @@ _BLANK = "[\\s\\u00a0\\u2009\\u202f]+"
 
 
 def plain_number(text: Column) -> Column:
-    """A number written in any of the usual notations as DOUBLE: blanks or points group thousands, a lone comma is decimal, brackets or a sign negate, kr or NOK may stand at either end."""
-    t = F.regexp_replace(F.lower(text), _BLANK, "")
-    t = F.regexp_replace(t, "^(kr\\.?|nok)|(kr\\.?|nok)$", "")
-    negative = t.rlike("^\\(.*\\)$|^[-\\u2212]|-$")
-    t = F.regexp_replace(t, "[()\\u2212+]|^-|-$", "")
-    t = F.regexp_replace(t, "^(kr\\.?|nok)|(kr\\.?|nok)$", "")
-    grouped = t.rlike("^\\d{1,3}(\\.\\d{3})+(,\\d*)?$|^\\d+,\\d+$|^\\d{1,3}(\\.\\d{3})+$") & ~t.rlike("^\\d{1,3}\\.\\d{3}$")
-    local = F.regexp_replace(F.regexp_replace(t, "\\.", ""), ",", ".")
-    english = F.regexp_replace(t, ",", "")
-    value = F.when(grouped | (t.rlike("^\\d{1,3}\\.\\d{3}$")), local).otherwise(english)
-    value = F.when(t.rlike("^[0-9.,]+(e[+-]?\\d+)?$"), value)
-    number = value.try_cast("double")
-    return F.when(negative, -number).otherwise(number) + F.lit(0.0)
+    """A number written in any of the usual notations as DOUBLE: blanks or points group thousands, a lone comma is decimal, brackets or a sign negate, kr or NOK may stand at either end.
+
+    Digits alone or grouped by plain blanks, the usual case, are read at once.
+    """
+    ends = "^(kr\\.?|nok)|(kr\\.?|nok)$"
+
+    def read(t: Column) -> Column:
+        negative = t.rlike("^\\(.*\\)$|^[-\\u2212]|-$")
+        bare = F.regexp_replace(F.regexp_replace(t, "[()\\u2212+]|^-|-$", ""), ends, "")
+
+        def value(u: Column) -> Column:
+            local = u.rlike("^\\d{1,3}(\\.\\d{3})+(,\\d*)?$|^\\d+,\\d+$")
+            digits = F.when(local, F.translate(F.replace(u, F.lit("."), F.lit("")), ",", ".")).otherwise(F.replace(u, F.lit(","), F.lit("")))
+            number = F.when(u.rlike("^[0-9.,]+(e[+-]?\\d+)?$"), digits).try_cast("double")
+            return F.when(negative, -number).otherwise(number)
+
+        return let(bare, value)
+
+    usual = F.when(text.rlike("^-?\\d{1,3}(?: \\d{3})*$|^-?\\d+$"), F.replace(text, F.lit(" "), F.lit("")).try_cast("double"))
+    return F.coalesce(usual, let(F.regexp_replace(F.regexp_replace(F.lower(text), _BLANK, ""), ends, ""), read)) + F.lit(0.0)
 
 
 def plain_label(text: Column) -> Column:
